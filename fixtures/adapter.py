@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quitanda.operators.lookups import join_keyed
+from quitanda.settings import spread
 
 ROW_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
@@ -50,7 +51,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lineitem = table(
         "lineitem", *ROW_KEYS, "l_quantity", "l_extendedprice", "l_shipdate"
-    ).withColumn("row_number", F.monotonically_increasing_id())
+    )
+    lineitem = spread(lineitem.withColumn("row_number", F.monotonically_increasing_id()))
     orders = table("orders", "o_orderkey", "o_custkey", "o_orderpriority")
     sales = lineitem
     for keyed, on, keys_from in (

@@ -36,7 +36,7 @@ def price_cents(value: Column, variant: bool = False) -> Column:
 def shipping_cents(value: Column, variant: bool = False) -> Column:
     """Cents of the first number in the text; sign and currency mark are ignored."""
     number = F.regexp_extract(text_of(value, variant), FIRST_NUMBER, 1)
-    return cents(F.nullif(number, F.lit("")).try_cast("double"))
+    return cents(number.try_cast("double"))
 
 
 def whole_number(value: Column, variant: bool = False) -> Column:

@@ -10,11 +10,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character that counts as white space when a text is stripped.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0 "
-    "           "
-    "    　"
+WHITESPACE = "".join(
+    map(
+        chr,
+        (
+            *range(0x09, 0x0E),
+            *range(0x1C, 0x21),
+            0x85,
+            0xA0,
+            0x1680,
+            *range(0x2000, 0x200B),
+            0x2028,
+            0x2029,
+            0x202F,
+            0x205F,
+            0x3000,
+        ),
+    )
 )
+OTHER_WHITESPACE = WHITESPACE.replace(" ", "")
 
 
 def field(record: Column, key: str) -> Column:
@@ -29,8 +43,15 @@ def text_of(value: Column, variant: bool = False) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of any kind from both ends (plain trim only removes blanks)."""
-    return F.trim(text, F.lit(WHITESPACE))
+    """Remove white space of any kind from both ends (plain trim only removes blanks).
+
+    The trim with a character set is several times slower, so it only runs on a text that
+    still begins or ends with other white space once its blanks are gone.
+    """
+    trimmed = F.trim(text)
+    edges = [F.substring(trimmed, 1, 1), F.substring(trimmed, -1, 1)]
+    other = [edge.isin(*OTHER_WHITESPACE) for edge in edges]
+    return F.when(other[0] | other[1], F.trim(trimmed, F.lit(WHITESPACE))).otherwise(trimmed)
 
 
 def is_boolean(value: Column) -> Column:
@@ -44,4 +65,5 @@ def normalized_text(value: Column, variant: bool = False) -> Column:
 
 def identifier(value: Column, variant: bool = False) -> Column:
     """String form of an id; the empty text is no id."""
-    return F.nullif(text_of(value, variant), F.lit(""))
+    text = text_of(value, variant)
+    return F.when(text != F.lit(""), text)

@@ -7,7 +7,10 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,11 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="quitanda-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="quitanda-")
+    return _local_folders[context.applicationId]
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
@@ -42,3 +46,13 @@ def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """Deal out an input that comes in fewer splits than there are cores.
+
+    A feed in one file, or a parquet file with a single row group, is otherwise read and
+    handed on by one task. A large input has splits enough and is left as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame

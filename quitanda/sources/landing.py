@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quitanda.settings import spread
+
 COLLECTION = "collection"
 
 
@@ -20,7 +22,8 @@ def land_raw(batch: DataFrame, path: str, collection: str) -> bool:
     if batch.isEmpty():
         return False
     (
-        batch.withColumn(COLLECTION, F.lit(collection))
+        spread(batch)
+        .withColumn(COLLECTION, F.lit(collection))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(COLLECTION)
