@@ -480,6 +480,14 @@ order by l_orderkey desc, l_linenumber desc, l_partkey desc, l_suppkey desc limi
                 for name in sks
             )
         ),
+        "dq_unmatched_sales": _from_warehouse(
+            "\nunion all\n".join(
+                f"select 'sk_{name}' as fact_key, count(*) as orphan_rows from stg s "
+                f"where purchase_date is not null and not exists "
+                f"(select 1 from dim_{name} d where {DIMENSIONS[name]['match']})"
+                for name in sks
+            )
+        ),
         "dq_domain_violations": _domain_oracle(),
     }
     for name, spec in DIMENSIONS.items():

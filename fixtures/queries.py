@@ -194,6 +194,9 @@ ON_FIXTURE: dict[str, Callable[[SalesFixture], DataFrame]] = {
     "dq_fk_orphans": lambda fixture: quality.orphan_keys(
         fixture.loaded.fact(), fixture.loaded.dimensions()
     ),
+    "dq_unmatched_sales": lambda fixture: quality.unmatched_sales(
+        fixture.loaded.staging(COLLECTION), fixture.loaded.dimensions()
+    ),
     "dq_domain_violations": lambda fixture: quality.domain_violations(
         cleaning.clean_records(fixture.raw)
     ),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.settings import new_shared_path
@@ -14,8 +16,8 @@ def assign_keys(
     """Number distinct members from ``last_key + 1`` in the order of their natural key.
 
     The members are range-partitioned and sorted, then written with the partition and
-    place each one got, so that a lost executor cannot change the order. Only the sizes of
-    the partitions are summed up in one place. Returns None if there are no members.
+    place each one got, so that a lost executor cannot change the order. Only the size of
+    each partition goes through the driver. Returns None if there are no members.
     """
     spark = members.sparkSession
     ordering = [F.col(name).asc_nulls_last() for name in order]
@@ -28,16 +30,14 @@ def assign_keys(
     )
     placed = spark.read.parquet(path)
     sizes = placed.groupBy("_part").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+        F.count(F.lit(1)).alias("rows"), F.min("_place").alias("first")
     )
-    offsets = spark.createDataFrame(offsets.collect(), offsets.schema)
-    if offsets.isEmpty():
+    parts = sorted(sizes.collect())
+    if not parts:
         return None
-    key = F.lit(last_key + 1) + F.col("_offset") + F.col("_place") - F.col("_first")
-    return placed.join(F.broadcast(offsets), "_part").select(
-        key.cast("int").alias(surrogate), *members.columns
+    before = accumulate((part.rows for part in parts), initial=last_key + 1)
+    starts = [(part._part, key - part.first) for part, key in zip(parts, before)]
+    starts = spark.createDataFrame(starts, "_part int, _start bigint")
+    return placed.join(F.broadcast(starts), "_part").select(
+        (F.col("_place") + F.col("_start")).cast("int").alias(surrogate), *members.columns
     )

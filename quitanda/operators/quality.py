@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,6 +135,32 @@ def orphan_keys(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def unmatched_sales(staged: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Per dimension key: dated staged rows that no member matches, before any fact exists.
+
+    As in ``orphan_keys``, only one row per natural key meets the dimension.
+    """
+    dated = staged.where(F.col("purchase_date").isNotNull())
+    counted = []
+    for dimension in DIMENSIONS:
+        keyed = dimensions[dimension.table].select(*dimension.natural_key)
+        sources = list(dimension.natural_key.values())
+        used = dated.groupBy(*sources).agg(F.count(F.lit(1)).alias("rows"))
+        same = [
+            used[source].eqNullSafe(keyed[name])
+            if name in dimension.null_safe
+            else used[source] == keyed[name]
+            for name, source in dimension.natural_key.items()
+        ]
+        unmatched = used.join(keyed, reduce(and_, same), "left_anti")
+        counted.append(
+            unmatched.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows")).select(
+                F.lit(dimension.surrogate).alias("fact_key"), "orphan_rows"
+            )
+        )
+    return reduce(DataFrame.unionByName, counted)
+
+
 # Largest absolute value a DECIMAL(10,7) holds, after rounding to seven digits.
 COORDINATE_LIMIT = 1000.0
 INT_LIMITS = (-(2**31), 2**31 - 1)

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -49,11 +50,10 @@ def _counted(frame: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return frame.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
-def land_feed(spark: SparkSession, config: BatchConfig, feed: Callable[[], DataFrame]) -> bool:
+def land_feed(config: BatchConfig, feed: Callable[[], DataFrame], plain_scan: bool) -> bool:
     """Land the feed; one that is missing, empty or not JSON leaves the last batch landed."""
     try:
-        batch = feed()
-        return land_raw(batch, config.raw_path, config.collection)
+        return land_raw(feed(), config.raw_path, config.collection, plain_scan)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -70,20 +70,19 @@ def run_batch(
 ) -> BatchResult:
     """Set up tables, land the feed, clean what is landed, stage it, fill the star schema.
 
+    ``feed`` reads the new records; without it they come from the JSON at ``feed_path``.
+
     With nothing new in the feed the last landed batch is cleaned and loaded again; in
     ``append`` mode its sales then count twice. With nothing landed at all, staging and
     star schema stay as they are.
     """
     result = BatchResult()
     warehouse = set_up_tables(spark, config.database, config.warehouse_path)
-    if feed is None and config.feed_path is not None:
-        feed_path = config.feed_path
-
-        def feed() -> DataFrame:
-            return read_records(spark, feed_path, config.multi_line)
-
     if feed is not None:
-        result.landed = land_feed(spark, config, feed)
+        result.landed = land_feed(config, feed, plain_scan=False)
+    elif config.feed_path is not None:
+        read = partial(read_records, spark, config.feed_path, config.multi_line)
+        result.landed = land_feed(config, read, plain_scan=True)
 
     raw = landed_or_none(spark, config.raw_path, config.collection)
     if raw is None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quitanda.operators.dimensions import load_dimension
 from quitanda.operators.fact import load_fact
-from quitanda.operators.quality import orphan_keys
+from quitanda.operators.quality import unmatched_sales
 from quitanda.schema import DIMENSIONS
 from quitanda.sources.tables import Warehouse
 
@@ -50,10 +50,7 @@ def populate(
 
 
 def refuse_unknown_keys(warehouse: Warehouse, staged: DataFrame) -> None:
-    from quitanda.operators.fact import fact_rows
-
-    dimensions = warehouse.dimensions()
-    orphans = orphan_keys(fact_rows(staged, dimensions), dimensions)
+    orphans = unmatched_sales(staged, warehouse.dimensions())
     found = orphans.where(F.col("orphan_rows") > 0).collect()
     if found:
         counts = ", ".join(f"{row.fact_key}: {row.orphan_rows}" for row in found)

@@ -52,7 +52,8 @@ def spread(frame: DataFrame) -> DataFrame:
     """Deal out an input that comes in fewer splits than there are cores.
 
     A feed in one file, or a parquet file with a single row group, is otherwise read and
-    handed on by one task. A large input has splits enough and is left as it is.
+    handed on by one task. A large input has splits enough and is left as it is. Meant for
+    plain scans: counting the partitions of a plan with a shuffle would run the shuffle.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame

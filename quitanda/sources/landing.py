@@ -13,16 +13,18 @@ from quitanda.settings import spread
 COLLECTION = "collection"
 
 
-def land_raw(batch: DataFrame, path: str, collection: str) -> bool:
+def land_raw(batch: DataFrame, path: str, collection: str, plain_scan: bool = False) -> bool:
     """Replace the landed records of a collection; an empty batch leaves them alone.
 
     The new files take the place of the old ones when the job commits, so a batch that
     fails half-way (a feed that turns out malformed, say) leaves the old records readable.
+    ``plain_scan`` says that the batch is read from files without a shuffle: if these give
+    fewer splits than there are cores, its rows are dealt out before they are written.
     """
     if batch.isEmpty():
         return False
     (
-        spread(batch)
+        (spread(batch) if plain_scan else batch)
         .withColumn(COLLECTION, F.lit(collection))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
