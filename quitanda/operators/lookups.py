@@ -3,7 +3,8 @@
 Up to ``BROADCAST_BYTES`` the keyed side is broadcast and the large side does not move.
 Beyond it both sides are shuffled, and keys that hold a large share of the rows are split
 over several tasks: the rows of such a key get one of ``SALTS`` salts, and its single
-keyed row is repeated once per salt.
+keyed row is repeated once per salt. The sample that finds these keys only decides how the
+work is dealt out: every row is joined, whatever it says.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ BROADCAST_ROWS = 1_000_000
 FIXED_WIDTH_BYTES = 16
 ROW_OVERHEAD_BYTES = 64
 
-# A key with more than one in HOT_SHARE rows is hot, so there are fewer than HOT_SHARE.
 HOT_SHARE = 200
+SAMPLED_ROWS = 2_000_000
 SALTS = 64
 
 
@@ -44,15 +45,25 @@ def fits_broadcast(frame: DataFrame, byte_limit: int = BROADCAST_BYTES) -> bool:
     return measured + rows * (fixed * FIXED_WIDTH_BYTES + ROW_OVERHEAD_BYTES) <= byte_limit
 
 
-def hot_keys(frame: DataFrame, keys: list[str], hot_share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than one in ``hot_share`` rows: fewer than that many rows.
+def hot_keys(
+    frame: DataFrame,
+    keys: list[str],
+    hot_share: int = HOT_SHARE,
+    sampled_rows: int = SAMPLED_ROWS,
+) -> DataFrame:
+    """Keys that hold about one in ``hot_share`` rows or more, as a small literal table.
 
-    The counts are summed on the map side, so a hot key costs no large shuffle, and the
-    few keys found are kept as a literal table.
+    A large frame is judged by a sample, whose size does not grow with it: only its keys
+    are shuffled. A key is taken from half the share on, so that chance hides none that
+    matters, and fewer than twice ``hot_share`` keys can reach that.
     """
-    counted = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    threshold = frame.count() // hot_share
-    hot = counted.where(F.col("rows") > F.lit(threshold)).select(*keys)
+    rows = frame.count()
+    looked_at = frame.select(*keys)
+    if rows > sampled_rows:
+        looked_at = looked_at.sample(sampled_rows / rows, seed=1)
+    enough = min(rows, sampled_rows) / (2 * hot_share)
+    counted = looked_at.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    hot = counted.where(F.col("rows") > F.lit(enough)).select(*keys)
     return frame.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 

@@ -49,9 +49,15 @@ def test_no_members_no_keys(spark):
 def test_hot_keys_are_few(spark):
     rows = [("hot", None)] * 500 + [(f"k{i}", i) for i in range(1000)]
     frame = spark.createDataFrame(rows, "t string, q int")
-    assert [tuple(r) for r in hot_keys(frame, ["t", "q"], 10).collect()] == [("hot", None)]
-    assert hot_keys(frame, ["t", "q"], 2).count() == 0
-    assert hot_keys(frame.limit(0), ["t", "q"], 10).count() == 0
+
+    def found(frame, **options):
+        return [tuple(r) for r in hot_keys(frame, ["t", "q"], **options).collect()]
+
+    assert found(frame, hot_share=10) == [("hot", None)]
+    assert found(frame, hot_share=10, sampled_rows=300) == [("hot", None)]
+    assert found(frame, hot_share=1) == []
+    assert found(frame.limit(0), hot_share=10) == []
+    assert len(found(frame, hot_share=100_000)) == 1001
 
 
 def test_broadcast_is_decided_by_measured_size(spark):
