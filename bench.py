@@ -50,76 +50,66 @@ def run_through(frame: DataFrame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
-def median_seconds(run: Callable[[], None], prepare: Callable[[], None] = lambda: None) -> float:
-    """Median over the runs after a first one that warms up."""
-    times = []
-    for _ in range(RUNS + 1):
-        prepare()
-        start = time.perf_counter()
-        run()
-        times.append(time.perf_counter() - start)
-    return round(statistics.median(times[1:]), 4)
-
-
-def main() -> None:
-    spark = session()
-    fixture = sales_fixture(spark, SF_DIR)
-    fixture.raw_path  # lands the raw records
-    fixture.feed_path
-    seconds: dict[str, float] = {}
-
-    state = {}
-
-    def empty_warehouse() -> None:
-        name = f"bench_{uuid.uuid4().hex[:12]}"
-        state["warehouse"] = set_up_tables(spark, name, new_shared_path(spark, "bench"))
-
-    def stage() -> None:
-        load_staging(state["warehouse"], clean_records(fixture.raw), COLLECTION)
+def timed(run: Callable[[], object]) -> float:
+    start = time.perf_counter()
+    run()
+    return time.perf_counter() - start
 
-    def staged_warehouse() -> None:
-        empty_warehouse()
-        stage()
 
-    def warehouse_with_dimensions() -> None:
-        staged_warehouse()
-        dimensions()
+def median_seconds(run: Callable[[], object]) -> float:
+    """Median over the runs after a first one that warms up."""
+    return round(statistics.median([timed(run) for _ in range(RUNS + 1)][1:]), 4)
 
-    def loaded_warehouse() -> None:
-        warehouse_with_dimensions()
-        fact()
 
-    def dimensions() -> None:
-        load_dimensions(state["warehouse"], state["warehouse"].staging(COLLECTION))
+def load_seconds(spark: SparkSession, raw: DataFrame) -> dict[str, float]:
+    """Each step of the load into a new warehouse, and the same batch loaded again."""
 
-    def fact() -> None:
-        load_fact(state["warehouse"], state["warehouse"].staging(COLLECTION))
+    def one_load() -> dict[str, float]:
+        name = f"bench_{uuid.uuid4().hex[:12]}"
+        warehouse = set_up_tables(spark, name, new_shared_path(spark, "bench"))
+        staging = timed(lambda: load_staging(warehouse, clean_records(raw), COLLECTION))
+        staged = warehouse.staging(COLLECTION)
+        return {
+            "clean_to_staging": staging,
+            "load_dimensions": timed(lambda: load_dimensions(warehouse, staged)),
+            "load_fact": timed(lambda: load_fact(warehouse, staged)),
+            "load_same_batch_again": timed(lambda: populate(warehouse, COLLECTION, "overwrite")),
+        }
+
+    loads = [one_load() for _ in range(RUNS + 1)][1:]
+    return {step: round(statistics.median(load[step] for load in loads), 4) for step in loads[0]}
+
+
+def batch_from_json(spark: SparkSession, feed_path: str) -> None:
+    path = new_shared_path(spark, "bench")
+    config = BatchConfig(
+        raw_path=f"{path}/raw",
+        warehouse_path=f"{path}/warehouse",
+        database=f"bench_{uuid.uuid4().hex[:12]}",
+        feed_path=feed_path,
+    )
+    run_batch(spark, config)
 
-    def second_load() -> None:
-        populate(state["warehouse"], COLLECTION, mode="overwrite")
 
-    def batch_from_json() -> None:
-        path = new_shared_path(spark, "bench")
-        config = BatchConfig(
-            raw_path=f"{path}/raw",
-            warehouse_path=f"{path}/warehouse",
-            database=f"bench_{uuid.uuid4().hex[:12]}",
-            feed_path=fixture.feed_path,
-        )
-        run_batch(spark, config)
+REPORTS = (
+    *MARTS,
+    "dq_rejects",
+    "dq_domain_violations",
+    "dq_unmatched_sales",
+    "dq_fk_orphans",
+    "src_json_records",
+)
 
-    seconds["clean_to_staging"] = median_seconds(stage, empty_warehouse)
-    seconds["load_dimensions"] = median_seconds(dimensions, staged_warehouse)
-    seconds["load_fact"] = median_seconds(fact, warehouse_with_dimensions)
-    seconds["second_load_same_batch"] = median_seconds(second_load, loaded_warehouse)
-    seconds["batch_run_from_json"] = median_seconds(batch_from_json)
 
+def main() -> None:
+    spark = session()
+    fixture = sales_fixture(spark, SF_DIR)
+    seconds = load_seconds(spark, fixture.raw)
+    feed_path = fixture.feed_path
+    seconds["batch_run_from_json"] = median_seconds(lambda: batch_from_json(spark, feed_path))
     registered = queries()
-    for name in MARTS:
+    for name in REPORTS:
         seconds[name] = median_seconds(lambda: run_through(registered[name](spark, SF_DIR)))
-    for name in ("dq_rejects", "dq_fk_orphans", "dq_domain_violations", "src_json_records"):
-        seconds[name] = median_seconds(lambda: run_through(registered[name](spark, SF_DIR)))
-
     print(
         json.dumps(
             {

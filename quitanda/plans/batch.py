@@ -9,8 +9,7 @@ from datetime import datetime
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from quitanda.operators.cleaning import clean_records
 from quitanda.plans.populate import populate
@@ -38,18 +37,14 @@ class BatchConfig:
 
 @dataclass
 class BatchResult:
+    """What a run did, and how many rows each stage then held (read from file footers)."""
+
     landed: bool = False
     staged: bool = False
     populated: bool = False
     rows: dict[str, int] = field(default_factory=dict)
 
 
-def _counted(frame: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
-    """Count rows while they pass, without another read."""
-    observation = Observation(stage)
-    return frame.observe(observation, F.count(F.lit(1)).alias("rows")), observation
-
-
 def land_feed(config: BatchConfig, feed: Callable[[], DataFrame], plain_scan: bool) -> bool:
     """Land the feed; one that is missing, empty or not JSON leaves the last batch landed."""
     try:
@@ -87,11 +82,12 @@ def run_batch(
     raw = landed_or_none(spark, config.raw_path, config.collection)
     if raw is None:
         return result
-    cleaned, staged_rows = _counted(clean_records(raw, config.loaded_at), "staging")
-    load_staging(warehouse, cleaned, config.collection)
+    result.rows["raw"] = raw.count()
+    load_staging(warehouse, clean_records(raw, config.loaded_at), config.collection)
     result.staged = True
-    result.rows["staging"] = staged_rows.get["rows"]
+    result.rows["staging"] = warehouse.staging(config.collection).count()
 
     populate(warehouse, config.collection, config.fact_mode, config.strict_keys)
     result.populated = True
+    result.rows["fact"] = warehouse.fact().count()
     return result

@@ -53,7 +53,7 @@ def test_full_run(spark, config):
     put_feed(config, [SALE, SALE | {"Vendedor": "Bia"}, SALE | {"Data da Compra": "?"}])
     result = run_batch(spark, config)
     assert result.landed and result.staged and result.populated
-    assert result.rows == {"staging": 3}
+    assert result.rows == {"raw": 3, "staging": 3, "fact": 2}
     assert counts(spark, config) == (3, 2)
     warehouse = Warehouse(spark, config.database, config.warehouse_path)
     mart = sales_by_category(warehouse.fact(), warehouse.dimensions())

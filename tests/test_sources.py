@@ -125,6 +125,17 @@ def test_scan_filters_sorts_limits_then_projects(spark, tmp_path):
     assert "EqualTo(Produto,a)" in text and "ReadSchema: struct<Produto:string,Preço:string>" in text
 
 
+def test_scan_of_json_records(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    land_raw(variant_records(spark, [{"Vendedor": s} for s in ("bia", "ana", 7)]), path, "vendas")
+    seller = F.try_variant_get("record", "$.Vendedor", "string")
+    found = scan_raw(spark, path, "vendas", where=seller != "ana", sort=[seller], limit=5)
+    assert [r.s for r in found.select(seller.alias("s")).collect()] == ["7", "bia"]
+    plan = scan_raw(spark, path, "vendas", columns=[seller.alias("s")])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<record:struct<0:string>>" in text
+
+
 def test_table_set_up_is_repeatable_and_finds_old_data(spark, tmp_path):
     location = str(tmp_path / "dw")
     first = set_up_tables(spark, "setup_one", location)
