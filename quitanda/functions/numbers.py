@@ -7,21 +7,31 @@ from pyspark.sql import functions as F
 
 from quitanda.functions.values import is_boolean, strip, text_of
 
-# Decimal literals only: Spark's own cast also takes suffixes, hex floats, NaN and Infinity.
-DECIMAL_LITERAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+# Number literals: digits, which single underscores may group. Spark's own cast also takes
+# suffixes, hex floats, NaN and Infinity, and no underscores.
+DIGITS = r"\d(?:[\d_]*\d)?"
+INTEGER_LITERAL = rf"^[+-]?{DIGITS}\z"
+DECIMAL_LITERAL = rf"^[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?\z"
 
 # Fixed value: the first number inside a freight text.
 FIRST_NUMBER = r"(\d+\.?\d*|\.\d+)"
 
 
+def _literal(text: Column, pattern: str) -> Column:
+    """The text without digit grouping if it is a literal of the given form, else NULL."""
+    stripped = strip(text)
+    return F.when(
+        stripped.rlike(pattern) & ~stripped.contains("__"), F.replace(stripped, F.lit("_"), F.lit(""))
+    )
+
+
 def to_double(value: Column, variant: bool = False) -> Column:
     """Floating point value of a number or a numeric text."""
     text = text_of(value, variant)
     if variant:
         flag = F.try_variant_get(value, "$", "boolean").cast("int").cast("string")
         text = F.when(is_boolean(value), flag).otherwise(text)
-    text = strip(text)
-    return F.when(text.rlike(DECIMAL_LITERAL), text.try_cast("double"))
+    return _literal(text, DECIMAL_LITERAL).try_cast("double")
 
 
 def cents(amount: Column) -> Column:
@@ -41,9 +51,10 @@ def shipping_cents(value: Column, variant: bool = False) -> Column:
 
 def whole_number(value: Column, variant: bool = False) -> Column:
     """Integer: a number is cut to its whole part, a text must be an integer literal."""
+    parsed = _literal(text_of(value, variant), INTEGER_LITERAL).try_cast("bigint")
     if variant:
-        return F.try_variant_get(value, "$", "bigint")
-    return strip(value).try_cast("bigint")
+        return F.coalesce(F.try_variant_get(value, "$", "bigint"), parsed)
+    return parsed
 
 
 def coordinate(value: Column, variant: bool = False) -> Column:

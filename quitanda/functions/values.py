@@ -64,6 +64,8 @@ def normalized_text(value: Column, variant: bool = False) -> Column:
 
 
 def identifier(value: Column, variant: bool = False) -> Column:
-    """String form of an id; the empty text is no id."""
+    """String form of an id; the empty text is no id. A JSON boolean reads True or False."""
     text = text_of(value, variant)
+    if variant:
+        text = F.when(is_boolean(value), F.initcap(text)).otherwise(text)
     return F.when(text != F.lit(""), text)

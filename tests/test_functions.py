@@ -58,11 +58,13 @@ def test_whitespace_is_what_python_strips():
 
 def test_identifier(spark):
     assert read_strings(spark, values.identifier, ["", "17", None]) == [None, "17", None]
-    assert read_variants(spark, values.identifier, ["", "17", 17, None]) == [None, "17", "17", None]
+    got = read_variants(spark, values.identifier, ["", "17", 17, None, True, "true"])
+    assert got == [None, "17", "17", None, "True", "true"]
 
 
 PRICES = ["19.99", "1e3", " 12 ", "1,5", "x", "nan", "inf", "-5", "1.5d", "0x1p3", "", ".5", "5.",
-          "+7", "1e400", " 3 ", "--1", "1 2"]
+          "+7", "1e400", "\u20033\u00a0", "--1", "1 2", "1_000.5_0", "1__0", "_1", "1_", "1_.5",
+          "1._5", "1e1_0", "1e_1", ".", "+", "e5", "1e", "\x004", "9" * 400, "1" * 5000 + "x"]
 
 
 def test_price_from_text(spark):
@@ -89,7 +91,8 @@ def test_freight_from_json(spark):
     assert got == [python_freight(v) for v in given_values]
 
 
-INTS = ["4", "4.9", " 4 ", "x", "-3", "+2", "", "1e3", "4.", "\t5\n", " 6"]
+INTS = ["4", "4.9", " 4 ", "x", "-3", "+2", "", "1e3", "4.", "\t5\n", "\u00a06", "1_000", "1__0",
+        "_1", "1_", "\x004"]
 
 
 def test_whole_number_from_text(spark):
@@ -97,7 +100,7 @@ def test_whole_number_from_text(spark):
 
 
 def test_whole_number_from_json(spark):
-    given_values = [4, 4.9, -4.9, "4.9", " 4 ", True, False, "x", None, [4], 1e2]
+    given_values = [4, 4.9, -4.9, "4.9", " 4 ", "1_0", True, False, "x", None, [4], 1e2]
     got = read_variants(spark, numbers.whole_number, given_values)
     assert got == [python_int(v) for v in given_values]
 
@@ -152,7 +155,7 @@ def test_day_kind(spark, day, kind):
     assert frame.select(dates.day_kind(F.col("d"))).first()[0] == kind
 
 
-pieces = st.text(alphabet="0123456789.,+-eE R$\t x/", max_size=12)
+pieces = st.text(alphabet="0123456789_.,+-eE R$\t x/", max_size=12)
 many = settings(
     max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
