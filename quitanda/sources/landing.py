@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,13 @@ from quitanda.settings import spread
 COLLECTION = "collection"
 
 
+def _folder(path: str, collection: str) -> str:
+    """Folder of one collection, whose name is one of letters, digits and underscores."""
+    if not re.fullmatch(r"[A-Za-z0-9_]+", collection):
+        raise ValueError(f"not a collection name: {collection!r}")
+    return f"{path}/{COLLECTION}={collection}"
+
+
 def land_raw(batch: DataFrame, path: str, collection: str, plain_scan: bool = False) -> bool:
     """Replace the landed records of a collection; an empty batch leaves them alone.
 
@@ -21,6 +29,7 @@ def land_raw(batch: DataFrame, path: str, collection: str, plain_scan: bool = Fa
     ``plain_scan`` says that the batch is read from files without a shuffle: if these give
     fewer splits than there are cores, its rows are dealt out before they are written.
     """
+    _folder(path, collection)
     if batch.isEmpty():
         return False
     (
@@ -47,11 +56,7 @@ def scan_raw(
 
     A limit of zero or less means no limit. A sort key need not be among the columns.
     """
-    landed = (
-        spark.read.parquet(path)
-        .where(F.col(COLLECTION) == F.lit(collection))
-        .drop(COLLECTION)
-    )
+    landed = spark.read.parquet(_folder(path, collection))
     if where is not None:
         landed = landed.where(where)
     if sort:

@@ -93,8 +93,11 @@ def test_landing_replaces_unless_empty(spark, tmp_path):
     assert land_raw(string_records(spark, [{"Preço": "3"}]), path, "vendas")
     assert not land_raw(string_records(spark, []), path, "vendas")
     assert [row["Preço"] for row in landed_or_none(spark, path, "vendas").collect()] == ["3"]
-    assert land_raw(string_records(spark, [{"Preço": "9"}]), path, "outra")
+    assert land_raw(variant_records(spark, [{"Preço": 9}]), path, "outra")
+    assert scan_raw(spark, path, "vendas").columns != scan_raw(spark, path, "outra").columns
     assert scan_raw(spark, path, "vendas").count() == 1
+    with pytest.raises(ValueError):
+        land_raw(string_records(spark, [{"Preço": "9"}]), path, "../outra")
     assert landed_or_none(spark, path, "nenhuma") is None
 
 
