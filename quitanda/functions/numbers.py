@@ -5,33 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quitanda.functions.values import is_boolean, strip, text_of
+from quitanda.functions.values import WHITESPACE, boolean_number, text_of
 
 # Number literals: digits, which single underscores may group. Spark's own cast also takes
 # suffixes, hex floats, NaN and Infinity, and no underscores.
-DIGITS = r"\d(?:[\d_]*\d)?"
-INTEGER_LITERAL = rf"^[+-]?{DIGITS}\z"
-DECIMAL_LITERAL = rf"^[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?\z"
+DIGITS = r"\d(?:_?\d)*+"
+INTEGER_LITERAL = rf"[+-]?{DIGITS}"
+DECIMAL_LITERAL = rf"[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?"
 
 # Fixed value: the first number inside a freight text.
 FIRST_NUMBER = r"(\d+\.?\d*|\.\d+)"
 
 
 def _literal(text: Column, pattern: str) -> Column:
-    """The text without digit grouping if it is a literal of the given form, else NULL."""
-    stripped = strip(text)
-    return F.when(
-        stripped.rlike(pattern) & ~stripped.contains("__"), F.replace(stripped, F.lit("_"), F.lit(""))
-    )
+    """The number literal that makes up the text, without digit grouping; else empty."""
+    around = f"[{WHITESPACE}]*+"
+    found = F.regexp_extract(text, rf"^{around}({pattern}){around}\z", 1)
+    return F.replace(found, F.lit("_"), F.lit(""))
 
 
 def to_double(value: Column, variant: bool = False) -> Column:
     """Floating point value of a number or a numeric text."""
-    text = text_of(value, variant)
-    if variant:
-        flag = F.try_variant_get(value, "$", "boolean").cast("int").cast("string")
-        text = F.when(is_boolean(value), flag).otherwise(text)
-    return _literal(text, DECIMAL_LITERAL).try_cast("double")
+    number = _literal(text_of(value, variant), DECIMAL_LITERAL).try_cast("double")
+    return F.coalesce(number, boolean_number(value)) if variant else number
 
 
 def cents(amount: Column) -> Column:

@@ -32,9 +32,9 @@ OTHER_WHITESPACE = WHITESPACE.replace(" ", "")
 
 
 def field(record: Column, key: str) -> Column:
-    """One field of a VARIANT record; NULL if the key is missing or its value is null."""
-    value = F.try_variant_get(record, f"$['{key}']", "variant")
-    return F.when(~F.is_variant_null(value), value)
+    """One field of a VARIANT record: NULL if the key is missing, a VARIANT null if its
+    value is null. Both read as NULL in every conversion."""
+    return F.try_variant_get(record, f"$['{key}']", "variant")
 
 
 def text_of(value: Column, variant: bool = False) -> Column:
@@ -54,8 +54,10 @@ def strip(text: Column) -> Column:
     return F.when(other[0] | other[1], F.trim(trimmed, F.lit(WHITESPACE))).otherwise(trimmed)
 
 
-def is_boolean(value: Column) -> Column:
-    return F.schema_of_variant(value) == "BOOLEAN"
+def boolean_number(value: Column) -> Column:
+    """1 or 0 for a JSON boolean, else NULL; the texts "true" and "false" are no numbers."""
+    spelled = text_of(value, True).isin("true", "false")
+    return F.when(spelled, F.try_variant_get(value, "$", "double"))
 
 
 def normalized_text(value: Column, variant: bool = False) -> Column:
@@ -67,5 +69,5 @@ def identifier(value: Column, variant: bool = False) -> Column:
     """String form of an id; the empty text is no id. A JSON boolean reads True or False."""
     text = text_of(value, variant)
     if variant:
-        text = F.when(is_boolean(value), F.initcap(text)).otherwise(text)
+        text = F.when(boolean_number(value).isNotNull(), F.initcap(text)).otherwise(text)
     return F.when(text != F.lit(""), text)

@@ -47,9 +47,7 @@ def select_fields(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
             value, variant = values.field(F.col(RECORD), key), True
         elif key in raw.columns:
             value, variant = F.col(f"`{key}`"), is_variant(raw, key)
-            if variant:
-                value = F.when(~F.is_variant_null(value), value)
-            elif not isinstance(raw.schema[key].dataType, (StringType, NullType)):
+            if not variant and not isinstance(raw.schema[key].dataType, (StringType, NullType)):
                 raise TypeError(
                     f"raw field {key!r} must be STRING or VARIANT, "
                     f"not {raw.schema[key].dataType.simpleString()}"

@@ -43,6 +43,8 @@ def failed_conversions(raw: DataFrame) -> dict[str, tuple[Column, Column]]:
         variant = is_variant(raw, source)
         value = F.col(source)
         given = value.isNotNull()
+        if variant:
+            given = given & ~F.is_variant_null(value)
         if name == "purchase_date":
             text = text_of(value, variant)
             given = given & (strip(text) != F.lit(""))
