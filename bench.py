@@ -30,7 +30,7 @@ from quitanda.sources.tables import load_staging, set_up_tables
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
-LOAD_RUNS = min(RUNS, 3)
+FEED_RUNS = min(RUNS, 3)
 
 
 def session() -> SparkSession:
@@ -77,7 +77,7 @@ def load_seconds(spark: SparkSession, raw: DataFrame) -> dict[str, float]:
             "load_same_batch_again": timed(lambda: populate(warehouse, COLLECTION, "overwrite")),
         }
 
-    loads = [one_load() for _ in range(LOAD_RUNS + 1)][1:]
+    loads = [one_load() for _ in range(RUNS + 1)][1:]
     return {step: round(statistics.median(load[step] for load in loads), 4) for step in loads[0]}
 
 
@@ -108,7 +108,7 @@ def main() -> None:
     seconds = load_seconds(spark, fixture.raw)
     feed_path = fixture.feed_path
     seconds["batch_run_from_json"] = median_seconds(
-        lambda: batch_from_json(spark, feed_path), LOAD_RUNS
+        lambda: batch_from_json(spark, feed_path), FEED_RUNS
     )
     registered = queries()
     for name in REPORTS:
