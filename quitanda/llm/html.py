@@ -1,0 +1,156 @@
+"""Main text of a page by the distribution of text over line blocks."""
+
+from __future__ import annotations
+
+import html as references
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quitanda.llm.common import map_rows
+
+WINDOW = 3
+
+# Elements of HTML by the part they play here.
+RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "canvas")
+BOILERPLATE = ("head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "select")
+MAIN = ("article", "main")
+INLINE = (
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em",
+    "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp",
+    "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+)
+VOID = (
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
+    "track", "wbr",
+)
+# Words of class, id and role that mark an element as boilerplate.
+MARKS = (
+    "ad", "ads", "advert", "advertisement", "advertising", "adverts", "banner", "breadcrumb",
+    "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer",
+    "header", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
+    "popup", "promo", "related", "replies", "reply", "respond", "share", "sharing", "sidebar",
+    "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
+)
+
+_RAW = "|".join(RAW)
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?"
+    rf"(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<[!?/][^>]*>",
+    re.DOTALL | re.IGNORECASE,
+)
+_MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
+_WORDS = re.compile(r"[a-z]+")
+_SPACE = re.compile(r"\s+")
+
+
+def is_marked(attributes: str) -> bool:
+    """Whether class, id or role has a word that stands for boilerplate."""
+    return any(
+        word in MARKS
+        for value in _MARKED.findall(attributes)
+        for word in _WORDS.findall(value.lower())
+    )
+
+
+def page_lines(page: str) -> list[tuple[str, bool, bool]]:
+    """The page as lines, one for each block: text, whether in a main element, whether kept out.
+
+    Every tag that is not inline ends a line. Character references are decoded after the
+    markup is gone, so an escaped tag stays text. Raw elements leave nothing.
+    """
+    lines: list[tuple[str, bool, bool]] = []
+    parts: list[str] = []
+    main, out_name, out_depth, at = 0, "", 0, 0
+
+    def end_line() -> None:
+        text = _SPACE.sub(" ", references.unescape("".join(parts))).strip()
+        parts.clear()
+        if text:
+            lines.append((text, main > 0, bool(out_name)))
+
+    for token in _TOKEN.finditer(page):
+        parts.append(page[at : token.start()])
+        at = token.end()
+        if token["name"] is None:
+            continue
+        name, closing = token["name"].lower(), bool(token["close"])
+        if name not in INLINE:
+            end_line()
+        if name in VOID:
+            continue
+        if out_name:
+            if name in MAIN and not closing and not main:
+                out_name, main = "", main + 1  # an element that was never closed
+            elif name == out_name:
+                out_depth += -1 if closing else 1
+                if not out_depth:
+                    end_line()
+                    out_name = ""
+        elif closing:
+            main -= name in MAIN and main > 0
+        elif name in MAIN:
+            main += 1
+        elif name not in ("html", "body") and (name in BOILERPLATE or is_marked(token["rest"])):
+            end_line()
+            out_name, out_depth = name, 1
+    parts.append(page[at:])
+    end_line()
+    return lines
+
+
+def body_span(lengths: Sequence[int], window: int = WINDOW) -> tuple[int, int]:
+    """First and last line (exclusive) between the surge and the dive of the text lengths.
+
+    A block's length is the sum over ``window`` lines from its first one on. The surge is the
+    first block with text that the next block keeps up; the dive is where blocks run dry for
+    good. Ends without text of their own are left off.
+    """
+    blocks = [sum(lengths[i : i + window]) for i in range(len(lengths))]
+    full = [i for i, size in enumerate(blocks) if size]
+    if not full:
+        return 0, 0
+    surge, dive = full[0], full[-1] + 1
+    while not lengths[surge]:
+        surge += 1
+    while not lengths[dive - 1]:
+        dive -= 1
+    return surge, dive
+
+
+def main_text(page: str | None, window: int = WINDOW) -> str:
+    """Blocks of the page's main text, one to a line; empty if it has none.
+
+    Lines of boilerplate count as empty, and so do lines outside ``article`` or ``main``
+    where the page has text inside one. What lies between surge and dive is kept whole.
+    """
+    lines = page_lines(page or "")
+    inside = any(main and not out for _, main, out in lines)
+    wanted = [not out and (main or not inside) for _, main, out in lines]
+    surge, dive = body_span([len(t) * w for (t, _, _), w in zip(lines, wanted)], window)
+    return "\n".join(lines[i][0] for i in range(surge, dive) if wanted[i])
+
+
+def extract_text(
+    pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), html: str = "html"
+) -> DataFrame:
+    """The columns in ``keep`` and ``text``, one row per page.
+
+    A null or empty page, and one without main text, has the empty text. Unclosed elements
+    end with the page, at the next main element, or where their parent's tag closes them.
+    Repeated rows give repeated results; other columns are not read. No shuffle.
+    """
+    kinds = dict(pages.dtypes)
+    kept = list(keep)
+
+    def start():
+        return lambda page, *values: [(*values, main_text(page))]
+
+    columns = [F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(kept)]
+    fields = ", ".join([*(f"k{i} {kinds[name]}" for i, name in enumerate(kept)), "text string"])
+    texts = map_rows(pages.select(F.col(html).alias("h"), *columns), start, fields)
+    return texts.toDF(*kept, "text")
