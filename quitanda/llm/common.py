@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quitanda.settings import new_shared_path
 
+SMALL_BATCH = 256
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -23,11 +24,11 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def map_rows(frame: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
-    """Row by row through Python, in Arrow batches.
+def map_batches(frame: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
+    """Small batches of rows through Python, by Arrow.
 
     ``make`` runs once per task, where it may load a model or open a cache, and gives a
-    function from one row's values to the list of its result rows (tuples in schema order).
+    function from lists of column values to the list of result rows (tuples in schema order).
     Results leave in small batches, so a task holds one input batch and a few results.
     """
     arrow = frame.sparkSession.createDataFrame([], schema).schema
@@ -39,10 +40,9 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable], schema: str) -> Dat
         target = to_arrow_schema(arrow)
         step = make()
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                columns = [column.to_pylist() for column in part.columns]
-                rows = [row for values in zip(*columns) for row in step(*values)]
+            for start in range(0, batch.num_rows, SMALL_BATCH):
+                part = batch.slice(start, SMALL_BATCH)
+                rows = step(*[column.to_pylist() for column in part.columns])
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -53,3 +53,13 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable], schema: str) -> Dat
                     )
 
     return frame.mapInArrow(run, arrow)
+
+
+def map_rows(frame: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
+    """Like ``map_batches``, with a function from one row's values to its result rows."""
+
+    def make_batch():
+        step = make()
+        return lambda *columns: [row for values in zip(*columns) for row in step(*values)]
+
+    return map_batches(frame, make_batch, schema)

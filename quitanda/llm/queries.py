@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from quitanda.llm.common import read_table
 from quitanda.llm.html import extract_text
 from quitanda.llm.packing import pack
+from quitanda.llm.pieces import encode_and_decode
 from quitanda.llm.quality import BASE, judge_quality
 from quitanda.llm.urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -46,6 +48,16 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_and_decode(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = extract_text(read_table(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
@@ -56,5 +68,6 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": op1_quality_rules,
         "op2_packing": op2_packing,
         "op5_url_filter": op5_url_filter,
+        "op8_sentencepiece": op8_sentencepiece,
         "op10_html_text": op10_html_text,
     }
