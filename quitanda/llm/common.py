@@ -30,6 +30,7 @@ def map_batches(frame: DataFrame, make: Callable[[], Callable], schema: str) ->
     ``make`` runs once per task, where it may load a model or open a cache, and gives a
     function from lists of column values to the list of result rows (tuples in schema order).
     Results leave in small batches, so a task holds one input batch and a few results.
+    A function that gathers over batches has an attribute ``rest``, called at the end.
     """
     arrow = frame.sparkSession.createDataFrame([], schema).schema
     names = arrow.fieldNames()
@@ -39,18 +40,25 @@ def map_batches(frame: DataFrame, make: Callable[[], Callable], schema: str) ->
 
         target = to_arrow_schema(arrow)
         step = make()
+
+        def record_batch(rows):
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(values, type=target.field(name).type)
+                    for name, values in zip(names, zip(*rows))
+                ],
+                schema=target,
+            )
+
         for batch in batches:
             for start in range(0, batch.num_rows, SMALL_BATCH):
                 part = batch.slice(start, SMALL_BATCH)
                 rows = step(*[column.to_pylist() for column in part.columns])
                 if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(values, type=target.field(name).type)
-                            for name, values in zip(names, zip(*rows))
-                        ],
-                        schema=target,
-                    )
+                    yield record_batch(rows)
+        if rest := getattr(step, "rest", None):
+            if rows := rest():
+                yield record_batch(rows)
 
     return frame.mapInArrow(run, arrow)
 

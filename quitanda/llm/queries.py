@@ -13,6 +13,8 @@ from quitanda.llm.html import extract_text
 from quitanda.llm.packing import pack
 from quitanda.llm.pieces import encode_and_decode
 from quitanda.llm.quality import BASE, judge_quality
+from quitanda.llm.sharding import document_shards
+from quitanda.llm.toxicity import HELD_OUT, THRESHOLD, fold_of, score, train
 from quitanda.llm.urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +50,30 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (fold_of(F.col("doc_id")) == HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = document_shards(read_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_and_decode(read_table(spark, sf_dir, "documents"), PIECE_MODEL)
     return encoded.select(
@@ -68,6 +94,8 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": op1_quality_rules,
         "op2_packing": op2_packing,
         "op5_url_filter": op5_url_filter,
+        "op6_toxicity": op6_toxicity,
+        "op7_sharding": op7_sharding,
         "op8_sentencepiece": op8_sentencepiece,
         "op10_html_text": op10_html_text,
     }
