@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quitanda.llm.common import read_table
+from quitanda.llm.fingerprints import fingerprints
 from quitanda.llm.html import extract_text
+from quitanda.llm.jaccard import jaccard_components
 from quitanda.llm.packing import pack
 from quitanda.llm.pieces import encode_and_decode
 from quitanda.llm.quality import BASE, judge_quality
@@ -45,6 +47,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"), width=3, num=90)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(read_table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -84,6 +90,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = extract_text(read_table(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
@@ -93,9 +103,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_packing": op2_packing,
+        "op4_jaccard_join": op4_jaccard_join,
         "op5_url_filter": op5_url_filter,
         "op6_toxicity": op6_toxicity,
         "op7_sharding": op7_sharding,
         "op8_sentencepiece": op8_sentencepiece,
+        "op9_fingerprints": op9_fingerprints,
         "op10_html_text": op10_html_text,
     }
