@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -71,3 +71,35 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable], schema: str) -> Dat
         return lambda *columns: [row for values in zip(*columns) for row in step(*values)]
 
     return map_batches(frame, make_batch, schema)
+
+
+def map_text(
+    frame: DataFrame,
+    make: Callable[[], Callable],
+    text: str,
+    keep: Sequence[str],
+    fields: Sequence[tuple[str, str]],
+) -> DataFrame:
+    """The columns in ``keep`` and, after them, new ``fields`` (name, type) made from a text.
+
+    ``make`` gives a function from a list of texts to a row of new values for each. New columns
+    come last, whatever the kept ones are called.
+    """
+    kinds, kept = dict(frame.dtypes), list(keep)
+    read = kept if text in kept else [*kept, text]
+    place = read.index(text)
+
+    def start():
+        step = make()
+
+        def rows(*columns):
+            kept_rows = zip(*columns[: len(kept)]) if kept else iter(lambda: (), None)
+            return [(*values, *new) for values, new in zip(kept_rows, step(columns[place]))]
+
+        return rows
+
+    names = [f"k{i} {kinds[name]}" for i, name in enumerate(kept)]
+    names += [f"n{i} {kind}" for i, (_, kind) in enumerate(fields)]
+    columns = [frame[f"`{name}`"].alias(f"r{i}") for i, name in enumerate(read)]
+    mapped = map_batches(frame.select(*columns), start, ", ".join(names))
+    return mapped.toDF(*kept, *(name for name, _ in fields))

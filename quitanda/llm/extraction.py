@@ -7,9 +7,8 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from quitanda.llm.common import map_rows
+from quitanda.llm.common import map_text
 
 WINDOW = 3
 
@@ -144,13 +143,7 @@ def extract_text(
     end with the page, at the next main element, or where their parent's tag closes them.
     Repeated rows give repeated results; other columns are not read. No shuffle.
     """
-    kinds = dict(pages.dtypes)
-    kept = list(keep)
-
     def start():
-        return lambda page, *values: [(*values, main_text(page))]
+        return lambda texts: [(main_text(page),) for page in texts]
 
-    columns = [F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(kept)]
-    fields = ", ".join([*(f"k{i} {kinds[name]}" for i, name in enumerate(kept)), "text string"])
-    texts = map_rows(pages.select(F.col(html).alias("h"), *columns), start, fields)
-    return texts.toDF(*kept, "text")
+    return map_text(pages, start, html, keep, [("text", "string")])

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quitanda.llm.common import map_rows
+from quitanda.llm.common import map_rows, map_text
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 5
@@ -198,33 +198,27 @@ def judge_quality(
     rules: Sequence[Rule] = RULES,
     report: Sequence[str] = (),
     ordered: bool = False,
+    verdict: str = "kept",
 ) -> DataFrame:
-    """The columns in ``keep``, the features in ``report`` and ``kept``, one row per input row.
+    """The columns in ``keep``, the features in ``report`` and ``verdict``, per input row.
 
     A document is kept if no rule rejects it. Rules run in the order found by
     ``order_rules`` and stop at the first that rejects; with ``ordered`` in the order given.
-    As ``kept`` is whether any rule rejects, it does not depend on that order.
+    As the verdict is whether any rule rejects, it does not depend on that order.
 
     A null or empty text has no words, which ``few_words`` rejects. Repeated rows are judged
     each alone; columns not named in ``keep`` are neither read nor changed. No shuffle.
     """
     cascade = list(rules) if ordered else order_rules(rules, bounded_sample(docs), text)
     reported = tuple(report)
-    kinds = dict(docs.dtypes)
-    kept_columns = list(keep)
 
     def start():
-        def row(body, *kept):
+        def row(body):
             doc = Document(body)
             passed = not any(rule.rejects(doc) for rule in cascade)
-            return [(*kept, *(doc[feature] for feature in reported), passed)]
+            return *(doc[feature] for feature in reported), passed
 
-        return row
+        return lambda texts: map(row, texts)
 
-    fields = [f"k{i} {kinds[name]}" for i, name in enumerate(kept_columns)]
-    fields += [f"r{i} bigint" for i in range(len(reported))] + ["kept boolean"]
-    columns = [F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(kept_columns)]
-    judged = map_rows(
-        docs.select(F.col(text).alias("t"), *columns), start, ", ".join(fields)
-    )
-    return judged.toDF(*kept_columns, *reported, "kept")
+    fields = [(feature, "bigint") for feature in reported] + [(verdict, "boolean")]
+    return map_text(docs, start, text, keep, fields)

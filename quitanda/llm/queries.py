@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quitanda.llm.common import read_table
+from quitanda.llm.extraction import extract_text
 from quitanda.llm.fingerprints import fingerprints
-from quitanda.llm.html import extract_text
 from quitanda.llm.jaccard import jaccard_components
+from quitanda.llm.licenses import scan_licenses
 from quitanda.llm.packing import pack
 from quitanda.llm.pieces import encode_and_decode
 from quitanda.llm.quality import BASE, judge_quality
@@ -47,6 +48,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"), width=3, num=90)
 
@@ -103,6 +108,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_packing": op2_packing,
+        "op3_license_scan": op3_license_scan,
         "op4_jaccard_join": op4_jaccard_join,
         "op5_url_filter": op5_url_filter,
         "op6_toxicity": op6_toxicity,

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quitanda.llm.common import map_batches, written
+from quitanda.llm.common import map_batches, map_text, written
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -254,12 +254,12 @@ class ToxicityModel:
     weights: tuple[float, ...]
 
     def scorer(self):
-        """A function from a list of texts to their scores, with a bounded cache of words."""
+        """A function from a list of texts to a score each, with a bounded cache of words."""
         known: dict[str, float] = {}
 
         def scores(texts):
             words = [words_in(text) for text in texts]
-            return [self.probability(row) for row in _features(self.evidence, words, known)]
+            return [(self.probability(x),) for x in _features(self.evidence, words, known)]
 
         return scores
 
@@ -347,8 +347,9 @@ def score(
     model: ToxicityModel,
     keep: Sequence[str] = ("doc_id",),
     text: str = "text",
+    name: str = "score",
 ) -> DataFrame:
-    """The columns in ``keep`` and ``score`` (0 to 1, higher: likelier toxic), per input row.
+    """The columns in ``keep`` and the score ``name`` (0 to 1, higher: likelier toxic), per input row.
 
     A null or empty text has no words and gets the score of no evidence. Repeated rows get
     equal scores; other columns are not read. The model has a fixed largest size and is
@@ -358,10 +359,6 @@ def score(
     shared, weights = model.evidence.shared(docs.sparkSession), model.weights
 
     def start():
-        scores = ToxicityModel(EvidenceModel(*shared.value), weights).scorer()
-        return lambda texts, *columns: list(zip(*columns, scores(texts)))
+        return ToxicityModel(EvidenceModel(*shared.value), weights).scorer()
 
-    columns = [F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(kept)]
-    fields = ", ".join([*(f"k{i} {kinds[name]}" for i, name in enumerate(kept)), "score double"])
-    scored = map_batches(docs.select(F.col(text).alias("t"), *columns), start, fields)
-    return scored.toDF(*kept, "score")
+    return map_text(docs, start, text, keep, [(name, "double")])
