@@ -29,6 +29,7 @@ from quitanda.sources.tables import load_staging, set_up_tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+SCRATCH = os.environ.get("BENCH_SCRATCH", "/tmp/quitanda-bench")
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 FEED_RUNS = min(RUNS, 3)
 
@@ -41,6 +42,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", SCRATCH)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -73,7 +75,7 @@ def load_seconds(spark: SparkSession, raw: DataFrame) -> dict[str, float]:
         return {
             "clean_to_staging": staging,
             "load_dimensions": timed(lambda: load_dimensions(warehouse, staged)),
-            "load_fact": timed(lambda: load_fact(warehouse, staged)),
+            "load_fact": timed(lambda: load_fact(warehouse, staged, COLLECTION)),
             "load_same_batch_again": timed(lambda: populate(warehouse, COLLECTION, "overwrite")),
         }
 

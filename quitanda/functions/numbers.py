@@ -13,6 +13,8 @@ DIGITS = r"\d(?:_?\d)*+"
 INTEGER_LITERAL = rf"[+-]?{DIGITS}"
 DECIMAL_LITERAL = rf"[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?"
 
+BIGINT_LIMIT = 2**63 - 1
+
 # Fixed value: the first number inside a freight text.
 FIRST_NUMBER = r"(\d+\.?\d*|\.\d+)"
 
@@ -30,9 +32,18 @@ def to_double(value: Column, variant: bool = False) -> Column:
     return F.coalesce(number, boolean_number(value)) if variant else number
 
 
+def _bounded(number: Column) -> Column:
+    """A double cut towards zero. Finite ones beyond the range end at its limits, so that
+    they are still there for the staging insert to refuse; infinity is no number."""
+    finite = F.when(F.abs(number) < F.lit(float("inf")), number)
+    within = F.abs(finite) < F.lit(float(BIGINT_LIMIT))
+    limit = F.when(finite > 0, F.lit(BIGINT_LIMIT)).when(finite < 0, F.lit(-BIGINT_LIMIT))
+    return F.when(within, finite.try_cast("bigint")).otherwise(limit)
+
+
 def cents(amount: Column) -> Column:
     """Whole cents: the double product cut towards zero (19.99 gives 1998)."""
-    return (amount * F.lit(100.0)).try_cast("bigint")
+    return _bounded(amount * F.lit(100.0))
 
 
 def price_cents(value: Column, variant: bool = False) -> Column:
@@ -47,9 +58,13 @@ def shipping_cents(value: Column, variant: bool = False) -> Column:
 
 def whole_number(value: Column, variant: bool = False) -> Column:
     """Integer: a number is cut to its whole part, a text must be an integer literal."""
-    parsed = _literal(text_of(value, variant), INTEGER_LITERAL).try_cast("bigint")
+    literal = _literal(text_of(value, variant), INTEGER_LITERAL)
+    beyond = F.when(literal.startswith("-"), F.lit(-BIGINT_LIMIT)).otherwise(F.lit(BIGINT_LIMIT))
+    parsed = F.coalesce(literal.try_cast("bigint"), F.when(literal != F.lit(""), beyond))
     if variant:
-        return F.coalesce(F.try_variant_get(value, "$", "bigint"), parsed)
+        is_text = F.schema_of_variant(value) == F.lit("STRING")
+        number = F.when(~is_text, _bounded(F.try_variant_get(value, "$", "double")))
+        return F.coalesce(F.try_variant_get(value, "$", "bigint"), parsed, number)
     return parsed
 
 

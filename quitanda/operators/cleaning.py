@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StringType, VariantType
 
@@ -80,6 +80,31 @@ def convert(frame: DataFrame, *names: str) -> DataFrame:
     return frame.withColumns(converted).drop(*[CONVERSIONS[name][0] for name in names])
 
 
+def is_given(frame: DataFrame, source: str) -> Column:
+    """Whether a raw value is there to be converted; a blank date text is not."""
+    variant, value = is_variant(frame, source), F.col(source)
+    given = value.isNotNull()
+    if variant:
+        given = given & ~F.is_variant_null(value)
+    if source == CONVERSIONS["purchase_date"][0]:
+        given = given & (values.strip(values.text_of(value, variant)) != F.lit(""))
+        if variant:
+            given = given & (F.schema_of_variant(value) == "STRING")
+    return given
+
+
+def convert_counting(frame: DataFrame, rejects: Observation) -> DataFrame:
+    """All conversions. The values that none could read are counted as the rows pass."""
+    converted = frame.withColumns(
+        {name: read(F.col(raw), is_variant(frame, raw)) for name, (raw, read) in CONVERSIONS.items()}
+    )
+    counts = [
+        F.count_if(is_given(frame, raw) & F.col(name).isNull()).alias(name)
+        for name, (raw, _) in CONVERSIONS.items()
+    ]
+    return converted.observe(rejects, *counts).drop(*[raw for raw, _ in CONVERSIONS.values()])
+
+
 def convert_numbers(frame: DataFrame) -> DataFrame:
     return convert(frame, *NUMBER_COLUMNS)
 
@@ -108,18 +133,22 @@ def add_load_timestamp(frame: DataFrame, loaded_at: datetime | None = None) -> D
     return frame.withColumn("etl_load_timestamp", F.lit(text).cast("timestamp_ntz"))
 
 
-def clean_records(raw: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+def clean_records(
+    raw: DataFrame, loaded_at: datetime | None = None, rejects: Observation | None = None
+) -> DataFrame:
     """All cleaning steps. No row is dropped; numbers keep their widest type.
 
     The result fits ``load_staging``, whose insert narrows the numbers and fails on a
-    value out of range; ``to_staging_types`` does the same without a table.
+    value out of range; ``to_staging_types`` does the same without a table. ``rejects``
+    observes, in the same pass, how many raw values each conversion turned into NULL.
     """
+    texts = normalize_text(select_fields(raw))
+    if rejects is None:
+        converted = texts.transform(convert_numbers).transform(convert_dates)
+    else:
+        converted = convert_counting(texts, rejects)
     return (
-        select_fields(raw)
-        .transform(normalize_text)
-        .transform(convert_numbers)
-        .transform(convert_dates)
-        .transform(apply_defaults)
+        converted.transform(apply_defaults)
         .transform(add_load_timestamp, loaded_at)
         .transform(staging_columns)
     )

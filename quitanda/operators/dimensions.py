@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 from functools import reduce
 from operator import and_
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from quitanda.functions.dates import calendar
 from quitanda.operators.keys import assign_keys
 from quitanda.schema import DEFAULT_TEXTS, DIM_LOCAL, DIM_TEMPO, Dimension, TABLES_BY_NAME
+from quitanda.settings import remove_path
 from quitanda.sources.tables import Warehouse, append_rows
 
 
@@ -64,19 +66,24 @@ def load_dimension(
     """Append the new members of the staged batch, numbered on from the highest key."""
     current = warehouse.dimension(dimension)
     last_key = current.agg(F.max(dimension.surrogate)).first()[0] or 0
-    numbered = assign_keys(
-        new_members(staged, current, dimension),
-        list(dimension.natural_key),
-        dimension.surrogate,
-        last_key,
-    )
-    if numbered is None:
-        return
-    loaded_at = loaded_at or datetime.now(timezone.utc)
-    stamp = F.lit(loaded_at.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"))
-    stamps = {
-        name: stamp.cast("timestamp_ntz")
-        for name in ("data_inclusao", "data_atualizacao")
-        if name in TABLES_BY_NAME[dimension.table].column_names
-    }
-    append_rows(warehouse, dimension.table, numbered.withColumns(stamps))
+    scratch = f"{warehouse.location}/_scratch/{dimension.table}-{uuid.uuid4().hex}"
+    try:
+        numbered = assign_keys(
+            new_members(staged, current, dimension),
+            list(dimension.natural_key),
+            dimension.surrogate,
+            last_key,
+            scratch,
+        )
+        if numbered is None:
+            return
+        loaded_at = loaded_at or datetime.now(timezone.utc)
+        stamp = F.lit(loaded_at.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"))
+        stamps = {
+            name: stamp.cast("timestamp_ntz")
+            for name in ("data_inclusao", "data_atualizacao")
+            if name in TABLES_BY_NAME[dimension.table].column_names
+        }
+        append_rows(warehouse, dimension.table, numbered.withColumns(stamps))
+    finally:
+        remove_path(warehouse.spark, scratch)

@@ -7,21 +7,19 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quitanda.settings import new_shared_path
-
 
 def assign_keys(
-    members: DataFrame, order: list[str], surrogate: str, last_key: int
+    members: DataFrame, order: list[str], surrogate: str, last_key: int, path: str
 ) -> DataFrame | None:
     """Number distinct members from ``last_key + 1`` in the order of their natural key.
 
     The members are range-partitioned and sorted, then written with the partition and
     place each one got, so that a lost executor cannot change the order. Only the size of
-    each partition goes through the driver. Returns None if there are no members.
+    each partition goes through the driver. Returns None if there are no members. The
+    result reads what is written to ``path``, which the caller removes afterwards.
     """
     spark = members.sparkSession
     ordering = [F.col(name).asc_nulls_last() for name in order]
-    path = new_shared_path(spark, f"members-{surrogate}")
     (
         members.repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)

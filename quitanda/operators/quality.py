@@ -8,8 +8,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quitanda.functions.values import strip, text_of
-from quitanda.operators.cleaning import CONVERSIONS, is_variant, select_fields
+from quitanda.functions.values import text_of
+from quitanda.operators.cleaning import CONVERSIONS, is_given, is_variant, select_fields
 from quitanda.schema import DEFAULT_TEXTS, DIMENSIONS, STAGING_TABLE, TABLES_BY_NAME
 
 
@@ -40,17 +40,9 @@ def failed_conversions(raw: DataFrame) -> dict[str, tuple[Column, Column]]:
     """
     failed = {}
     for name, (source, read) in CONVERSIONS.items():
-        variant = is_variant(raw, source)
-        value = F.col(source)
-        given = value.isNotNull()
-        if variant:
-            given = given & ~F.is_variant_null(value)
-        if name == "purchase_date":
-            text = text_of(value, variant)
-            given = given & (strip(text) != F.lit(""))
-            if variant:
-                given = given & (F.schema_of_variant(value) == "STRING")
-        failed[name] = (text_of(value, variant), given & read(value, variant).isNull())
+        variant, value = is_variant(raw, source), F.col(source)
+        unread = is_given(raw, source) & read(value, variant).isNull()
+        failed[name] = (text_of(value, variant), unread)
     return failed
 
 

@@ -9,7 +9,7 @@ from datetime import datetime
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from quitanda.operators.cleaning import clean_records
 from quitanda.plans.populate import populate
@@ -37,12 +37,14 @@ class BatchConfig:
 
 @dataclass
 class BatchResult:
-    """What a run did, and how many rows each stage then held (read from file footers)."""
+    """What a run did, how many rows of its batch each stage then held (read from file
+    footers), and how many values of each field could not be read."""
 
     landed: bool = False
     staged: bool = False
     populated: bool = False
     rows: dict[str, int] = field(default_factory=dict)
+    rejects: dict[str, int] = field(default_factory=dict)
 
 
 def land_feed(config: BatchConfig, feed: Callable[[], DataFrame], plain_scan: bool) -> bool:
@@ -83,11 +85,16 @@ def run_batch(
     if raw is None:
         return result
     result.rows["raw"] = raw.count()
-    load_staging(warehouse, clean_records(raw, config.loaded_at), config.collection)
+    rejects = Observation()
+    cleaned = clean_records(raw, config.loaded_at, rejects)
+    load_staging(warehouse, cleaned, config.collection)
+    result.rejects = {name: count for name, count in rejects.get.items() if count}
+    if result.rejects:
+        log.warning("values that could not be read: %s", result.rejects)
     result.staged = True
     result.rows["staging"] = warehouse.staging(config.collection).count()
 
-    populate(warehouse, config.collection, config.fact_mode, config.strict_keys)
+    lot = populate(warehouse, config.collection, config.fact_mode, config.strict_keys)
     result.populated = True
-    result.rows["fact"] = warehouse.fact().count()
+    result.rows["fact"] = warehouse.fact_lot(lot).count()
     return result

@@ -1,9 +1,11 @@
 """The eleven sales reports.
 
 Each one sums the fact per dimension key before it joins the dimension, so the join sees
-one row per key however many sales a key has: the fact is never shuffled as a whole, and a
-key that holds a third of the sales is summed up in the tasks that read it. After the join
-the sums are added up once more under the report's own columns.
+one row per key however many sales a key has, and a key that holds a third of the sales is
+summed up in the tasks that read it. After the join the sums are added up once more under
+the report's own columns. Reports by category join a product table that can be broadcast
+first, as there are far more products than categories: one row per product and task would
+come close to a shuffle of the fact.
 """
 
 from __future__ import annotations
@@ -48,10 +50,23 @@ def known(fact: DataFrame, key: str) -> DataFrame:
     return fact.where(F.col(key) != F.lit(UNKNOWN_KEY))
 
 
+def per_category(
+    fact: DataFrame, dims: Dimensions, by: list[str], sums: dict[str, Column]
+) -> DataFrame:
+    """Sums per category and ``by``, to be added up once more.
+
+    There are many products and few categories, so a product table that can be broadcast is
+    joined first and what is shuffled are categories. A larger one meets one row per product.
+    """
+    products = dims["dim_produto"].select("sk_produto", "categoria")
+    if fits_broadcast(products):
+        return per_key(fact.join(F.broadcast(products), "sk_produto"), ["categoria", *by], sums)
+    return per_key(fact, ["sk_produto", *by], sums).join(products, "sk_produto")
+
+
 def sales_by_category(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    sums = per_key(fact, ["sk_produto"], totals() | {"price": F.sum("preco_cents")})
     return (
-        sums.join(dims["dim_produto"], "sk_produto")
+        per_category(fact, dims, [], totals() | {"price": F.sum("preco_cents")})
         .groupBy("categoria")
         .agg(
             sales().alias("total_transacoes_venda"),
@@ -142,8 +157,7 @@ def quarterly_sales(fact: DataFrame, dims: Dimensions) -> DataFrame:
 def rating_by_category(fact: DataFrame, dims: Dimensions) -> DataFrame:
     rated = known(fact, "sk_produto").where(F.col("purchase_rating").isNotNull())
     return (
-        per_key(rated, ["sk_produto", "purchase_rating"], {"sales": F.count(F.lit(1))})
-        .join(dims["dim_produto"], "sk_produto")
+        per_category(rated, dims, ["purchase_rating"], {"sales": F.count(F.lit(1))})
         .groupBy("categoria", F.col("purchase_rating").alias("avaliacao_da_compra"))
         .agg(sales().alias("total_transacoes_com_esta_avaliacao"))
         .orderBy(

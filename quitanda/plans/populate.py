@@ -12,7 +12,7 @@ from quitanda.operators.dimensions import load_dimension
 from quitanda.operators.fact import load_fact
 from quitanda.operators.quality import unmatched_sales
 from quitanda.schema import DIMENSIONS
-from quitanda.sources.tables import Warehouse
+from quitanda.sources.tables import Lot, Warehouse
 
 
 class OrphanKeys(RuntimeError):
@@ -34,19 +34,23 @@ def load_dimensions(
 
 
 def populate(
-    warehouse: Warehouse, collection: str, mode: str = "append", strict_keys: bool = False
-) -> None:
+    warehouse: Warehouse,
+    collection: str,
+    mode: str = "append",
+    strict_keys: bool = False,
+    batch: str | None = None,
+) -> Lot:
     """Load the dimensions and then the fact from the staged batch of a collection.
 
     ``strict_keys`` raises before the fact is touched if a sale would get an unknown key.
     A load that fails can be run again: members already added are found by the anti-join,
-    and the fact insert either commits whole or adds nothing.
+    and the batch replaces whatever an earlier attempt left of it in the fact.
     """
     staged = warehouse.staging(collection)
     load_dimensions(warehouse, staged)
     if strict_keys:
         refuse_unknown_keys(warehouse, staged)
-    load_fact(warehouse, staged, mode)
+    return load_fact(warehouse, staged, collection, mode, batch)
 
 
 def refuse_unknown_keys(warehouse: Warehouse, staged: DataFrame) -> None:

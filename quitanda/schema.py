@@ -238,7 +238,10 @@ TABLES = (
             _C("purchase_rating", "int"),
             _C("etl_load_timestamp", "timestamp_ntz", True),
             _C("sk_venda", "bigint", True, "Unique sale number; not dense."),
+            _C("collection", "string", True, "Landing collection the batch was read from."),
+            _C("lote", "string", True, "Number before the batch's first sale, and its name."),
         ),
+        partitioned_by=("collection", "lote"),
     ),
 )
 TABLES_BY_NAME = {table.name: table for table in TABLES}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,23 +9,12 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
-
-    Only a local session without the setting gets a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="quitanda-")
-    return _local_folders[context.applicationId]
+    """Folder every executor can reach: the one in spark.checkpoint.dir, else the warehouse's."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    return folder.rstrip("/")
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
@@ -34,6 +22,12 @@ def new_shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/quitanda/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """Set one session option for the length of a block."""

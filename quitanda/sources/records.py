@@ -5,55 +5,143 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
+
+from quitanda.schema import FIELD_MAP
 
 RECORD = "record"
 
 MALFORMED_FEED = "MALFORMED_FEED"
+UNREADABLE_FEED = "UNREADABLE_FEED"
 NOT_A_RECORD = "NOT_A_RECORD"
 
+# A text above this size may fail to parse for its size alone, so it is not called malformed.
+PARSE_BYTES = 16 * 1024 * 1024
+
+_CORRUPT = "_corrupt_feed_text"
+
+
+def _refusal(text: Column) -> Column:
+    """Raises for a text that is no JSON; one too large to tell gets an error of its own."""
+    return F.when(
+        F.octet_length(text) <= PARSE_BYTES,
+        F.raise_error(F.lit(f"{MALFORMED_FEED}: the feed is not valid JSON")),
+    ).otherwise(F.raise_error(F.lit(f"{UNREADABLE_FEED}: a large text of the feed can't be parsed")))
+
+
+def _no_record() -> Column:
+    return F.raise_error(F.lit(f"{NOT_A_RECORD}: a list element of the feed is no object"))
+
+
+def _is_record(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
 
 def read_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """One VARIANT row per sale record of a JSON feed.
 
     A list gives one row per element, an object one row, any other value none. JSON that
     cannot be parsed, or a list element that is no object, makes the read fail when it
-    runs; ``is_malformed_feed`` tells the first kind from other failures.
+    runs; ``is_malformed_feed`` tells the first kind from other failures. Of a repeated key
+    the last value counts.
 
     Leave ``multi_line`` off for newline-delimited feeds: those are split across tasks,
-    while a multi-line file is read whole by one.
+    while a multi-line file is read by one, element by element and whatever its size.
     """
-    document = F.col("document")
-    documents = (
-        spark.read.option("singleVariantColumn", "document")
-        .option("multiLine", multi_line)
-        .json(path)
-    )
-    parsed = F.when(document.isNotNull(), document).otherwise(
-        F.raise_error(F.lit(f"{MALFORMED_FEED}: the feed is not valid JSON"))
-    )
+    return _read_document(spark, path) if multi_line else _read_lines(spark, path)
+
+
+def _read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Each line as one VARIANT.
+
+    A line that does not fit one, or that repeats a key, is read again by the fields of a
+    sale record; it lands those only.
+    """
+    lines = spark.read.text(path)
+    # Told here and not by a filter, which Spark could run after what it should keep out.
+    is_text = F.trim("value") != F.lit("")
+    fields = StructType([StructField(key, VariantType()) for key in FIELD_MAP])
+    again = F.from_json("value", ArrayType(fields))
     elements = F.try_variant_get("document", "$", "array<variant>")
-    element = F.col("element")
-    is_record = F.try_variant_get(element, "$", "map<string,variant>").isNotNull()
-    return (
-        documents.select(parsed.alias("document"))
-        .select(
-            elements.isNotNull().alias("from_list"),
-            F.explode(F.coalesce(elements, F.array("document"))).alias("element"),
+    parsed = lines.select("value", F.try_parse_json("value").alias("document")).select(
+        F.when(
+            F.col("document").isNull() & is_text,
+            F.transform(
+                F.coalesce(again, _refusal(F.col("value")).cast(ArrayType(fields))),
+                lambda record: F.struct(
+                    F.to_variant_object(record).alias("element"),
+                    record.isNotNull().alias("is_record"),
+                    F.lit(True).alias("from_list"),
+                ),
+            ),
         )
-        .select("from_list", "element", is_record.alias("is_record"))
-        .where(F.col("is_record") | F.col("from_list"))
-        .select(
-            F.when(F.col("is_record"), element)
-            .otherwise(
-                F.raise_error(F.lit(f"{NOT_A_RECORD}: a list element of the feed is no object"))
-            )
-            .alias(RECORD)
+        .when(
+            is_text,
+            F.transform(
+                F.coalesce(elements, F.array("document")),
+                lambda element: F.struct(
+                    element.alias("element"),
+                    _is_record(element).alias("is_record"),
+                    elements.isNotNull().alias("from_list"),
+                ),
+            ),
         )
+        .alias("found")
+    )
+    found = parsed.select(F.explode("found").alias("found")).select("found.*")
+    return found.where(F.col("is_record") | F.col("from_list")).select(
+        F.when(F.col("is_record"), F.col("element")).otherwise(_no_record()).alias(RECORD)
     )
 
 
+def _record_keys(spark: SparkSession, path: str) -> list[str]:
+    """Keys of a sale record and, after a pass over the feed, those it has besides.
+
+    Keys that differ from another in upper and lower case only are no columns of their own,
+    and where a record repeats a key only the known ones are taken.
+    """
+    try:
+        found = spark.read.option("multiLine", True).json(path).schema.names
+    except AnalysisException as error:
+        if error.getCondition() != "COLUMN_ALREADY_EXISTS":
+            raise
+        found = []
+    keys = {key.lower(): key for key in [*reversed(found), *FIELD_MAP] if key != "_corrupt_record"}
+    return list(keys.values())
+
+
+def _read_document(spark: SparkSession, path: str) -> DataFrame:
+    """A document of any size: the reader streams its elements, each field a VARIANT."""
+    keys = _record_keys(spark, path)
+    schema = StructType([StructField(key, VariantType()) for key in keys])
+    rows = (
+        spark.read.schema(schema.add(_CORRUPT, StringType()))
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("multiLine", True)
+        .json(path)
+    )
+    corrupt = F.col(_CORRUPT)
+    document = F.try_parse_json(corrupt)
+    is_list = F.try_variant_get(document, "$", "array<variant>").isNotNull()
+    is_value = document.isNotNull() & ~is_list & ~_is_record(document)
+    record = F.to_variant_object(F.struct(*[F.col(_quoted(key)) for key in keys]))
+    # The reader refuses queries for the unread text alone, so a field is looked at as well.
+    read = corrupt.isNull() | F.col(_quoted(keys[-1])).isNotNull()
+    return rows.where(read | ~F.coalesce(is_value, F.lit(False))).select(
+        F.when(corrupt.isNull(), record)
+        .when(document.isNull(), _refusal(corrupt))
+        .otherwise(_no_record())
+        .alias(RECORD)
+    )
+
+
+def _quoted(key: str) -> str:
+    return "`" + key.replace("`", "``") + "`"
+
+
 def is_malformed_feed(error: BaseException) -> bool:
     return MALFORMED_FEED in str(error)
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quitanda.schema import (
+    FACT_COLUMNS,
     FACT_TABLE,
     STAGING_COLUMNS,
     STAGING_TABLE,
@@ -17,13 +21,37 @@ from quitanda.schema import (
     Dimension,
     TableSpec,
 )
-from quitanda.settings import session_setting
+from quitanda.settings import remove_path, session_setting
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+@dataclass(frozen=True)
+class Lot:
+    """A partition of the fact: a batch of a collection, whose sale numbers follow ``first_sale``."""
+
+    collection: str
+    first_sale: int
+    batch: str
+
+    @property
+    def name(self) -> str:
+        return f"{self.first_sale:019d}-{self.batch}"
+
+    @property
+    def spec(self) -> str:
+        return f"PARTITION (`collection` = {_quoted(self.collection)}, `lote` = {_quoted(self.name)})"
+
+    @classmethod
+    def read(cls, folder: str) -> Lot:
+        """The lot of a partition named as ``collection=<name>/lote=<name>``."""
+        collection, name = (part.partition("=")[2] for part in folder.split("/"))
+        first_sale, _, batch = name.partition("-")
+        return cls(collection, int(first_sale), batch)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """A database of external parquet tables below one shared location."""
@@ -47,7 +75,18 @@ class Warehouse:
         return self.read(dimension.table)
 
     def fact(self) -> DataFrame:
-        return self.read(FACT_TABLE)
+        """Sales of all lots, without the columns that tell lots apart."""
+        return self.read(FACT_TABLE).select(*FACT_COLUMNS)
+
+    def fact_lots(self) -> list[Lot]:
+        """The lots of the fact, from the catalog alone."""
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.name(FACT_TABLE)}").collect()
+        return [Lot.read(row[0]) for row in rows]
+
+    def fact_lot(self, lot: Lot) -> DataFrame:
+        """Sales of one lot; the filter leaves only its folder to read."""
+        same = (F.col("collection") == lot.collection) & (F.col("lote") == lot.name)
+        return self.read(FACT_TABLE).where(same).select(*FACT_COLUMNS)
 
     def dimensions(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES_BY_NAME if name.startswith("dim_")}
@@ -56,9 +95,8 @@ class Warehouse:
 def create_table(warehouse: Warehouse, table: TableSpec) -> None:
     """Create one table if it is missing; data files already at its location are picked up."""
     location = f"{warehouse.location}/{table.name}"
-    if table.partitioned_by and not warehouse.spark.catalog.tableExists(
-        warehouse.name(table.name)
-    ):
+    is_new = not warehouse.spark.catalog.tableExists(warehouse.name(table.name))
+    if table.partitioned_by and is_new:
         # Partitions can only be looked for in a folder that is there.
         nothing = warehouse.spark.range(0)
         nothing = nothing.withColumns({name: F.lit("") for name in table.partitioned_by})
@@ -76,7 +114,7 @@ def create_table(warehouse: Warehouse, table: TableSpec) -> None:
         + f"LOCATION {_quoted(f'{warehouse.location}/{table.name}')} "
         f"COMMENT {_quoted(table.comment)}"
     )
-    if partitioning:
+    if partitioning and is_new:
         warehouse.spark.sql(f"ALTER TABLE {warehouse.name(table.name)} RECOVER PARTITIONS")
 
 
@@ -132,9 +170,28 @@ def append_rows(warehouse: Warehouse, table: str, rows: DataFrame) -> None:
     aligned.write.insertInto(warehouse.name(table))
 
 
-def overwrite_rows(warehouse: Warehouse, table: str, rows: DataFrame) -> None:
-    """Replace the whole content of an unpartitioned table."""
-    aligned_rows(table, rows).write.insertInto(warehouse.name(table), overwrite=True)
+def write_lot(warehouse: Warehouse, lot: Lot, rows: DataFrame) -> None:
+    """Write one lot of the fact; files of an earlier attempt at it go, other lots stay."""
+    if not re.fullmatch(r"\w+", lot.collection) or not re.fullmatch(r"\w+", lot.batch):
+        raise ValueError("collections and batches are named by letters, digits and underscores")
+    view = f"lot_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        warehouse.spark.sql(
+            f"INSERT OVERWRITE TABLE {warehouse.name(FACT_TABLE)} {lot.spec} SELECT * FROM {view}"
+        )
+    finally:
+        warehouse.spark.catalog.dropTempView(view)
+
+
+def drop_lots(warehouse: Warehouse, lots: Sequence[Lot]) -> None:
+    """Take lots out of the fact, then remove their files."""
+    for lot in lots:
+        warehouse.spark.sql(
+            f"ALTER TABLE {warehouse.name(FACT_TABLE)} DROP IF EXISTS {lot.spec}"
+        )
+        folder = f"collection={lot.collection}/lote={lot.name}"
+        remove_path(warehouse.spark, f"{warehouse.location}/{FACT_TABLE}/{folder}")
 
 
 def aligned_rows(table: str, rows: DataFrame) -> DataFrame:
@@ -143,5 +200,6 @@ def aligned_rows(table: str, rows: DataFrame) -> DataFrame:
         *[
             F.col(name) if name in present else F.lit(None).alias(name)
             for name in TABLES_BY_NAME[table].column_names
+            if name not in TABLES_BY_NAME[table].partitioned_by
         ]
     )

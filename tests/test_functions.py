@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quitanda.functions import dates, numbers, values
 from quitanda.functions.values import WHITESPACE
+from quitanda.operators.cleaning import clean_records, to_staging_types
 from tests.helpers import (
     python_cents,
     python_date,
@@ -162,7 +163,31 @@ many = settings(
 
 
 def fits_long(cents):
-    return cents if cents is None or -(2**63) <= cents < 2**63 else None
+    """Numbers beyond BIGINT end at its limits."""
+    return cents if cents is None else max(-(2**63) + 1, min(2**63 - 1, cents))
+
+
+@pytest.mark.parametrize(
+    "raw", ["1e17", "-1e17", "99999999999999999999", "9" * 400, 1e30, -1e30, 10**20, 2**62]
+)
+def test_finite_numbers_out_of_range_stay_for_the_insert_to_refuse(spark, raw):
+    frame = variant_records(spark, [{"Preço": raw, "Avaliação da compra": raw}])
+    row = clean_records(frame).first()
+    expected = 1 if not str(raw).startswith("-") else -1
+    whole = isinstance(raw, str) and "e" in raw
+    assert row.purchase_rating is None if whole else expected * row.purchase_rating > 2**31
+    if raw == "9" * 400:
+        assert row.price_cents is None  # an infinite double
+    else:
+        assert expected * row.price_cents > 2**31
+        with pytest.raises(Exception, match="CAST_OVERFLOW"):
+            to_staging_types(clean_records(frame)).collect()
+
+
+@pytest.mark.parametrize("raw", ["1e400", "inf", "-Infinity", "nan"])
+def test_what_is_no_finite_number_is_null(spark, raw):
+    row = clean_records(variant_records(spark, [{"Preço": raw, "Frete": raw}])).first()
+    assert row.price_cents is None
 
 
 @many

@@ -241,11 +241,30 @@ def test_large_sums_do_not_overflow(spark):
     assert tuple(row) == (1.8e17, 9e16)
 
 
+BY_CATEGORY = ("mart_01_sales_by_category", "mart_07_rating_by_category")
+
+
 def test_fact_is_summed_before_the_join(loaded):
     fact, dims = loaded({})
     for name, mart in marts.MARTS.items():
-        if name == "mart_11_seller_monthly":
+        if name in (*BY_CATEGORY, "mart_11_seller_monthly"):
             continue
         plan = mart(fact, dims)._jdf.queryExecution().optimizedPlan().toString()
         join = plan.index("Join Inner")
         assert "Aggregate [sk_" in plan[join:], name
+
+
+@pytest.mark.parametrize("name", BY_CATEGORY)
+def test_categories_are_shuffled_and_not_products(loaded, monkeypatch, name):
+    fact, dims = loaded({}, {"purchase_rating": 1}, {"product_name": "b", "category_name": "c2"})
+
+    def plan_and_rows():
+        report = marts.MARTS[name](fact, dims)
+        return report._jdf.queryExecution().optimizedPlan().toString(), rows(report)
+
+    joined_first, small = plan_and_rows()
+    assert "Aggregate [sk_" not in joined_first
+    monkeypatch.setattr(marts, "fits_broadcast", lambda frame: False)
+    summed_first, large = plan_and_rows()
+    assert "Aggregate [sk_produto" in summed_first
+    assert small == large

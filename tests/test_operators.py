@@ -20,30 +20,32 @@ from quitanda.schema import (
     DIMENSIONS,
     FACT_TABLE,
 )
+from quitanda.settings import remove_path
 from tests.helpers import staged_rows
 
 
-def test_keys_are_dense_and_in_order_over_many_partitions(spark):
+def test_keys_are_dense_and_in_order_over_many_partitions(spark, tmp_path):
     names = [f"n{i:05d}" for i in range(5000)]
     shuffled = random.Random(1).sample(names, len(names))
     members = spark.createDataFrame([(n,) for n in shuffled], "name string").repartition(7)
-    keyed = assign_keys(members, ["name"], "sk", 40)
+    keyed = assign_keys(members, ["name"], "sk", 40, str(tmp_path / "m"))
     assert keyed.rdd.getNumPartitions() >= 1
     assert [tuple(r) for r in keyed.orderBy("sk").collect()] == [
         (41 + i, name) for i, name in enumerate(names)
     ]
 
 
-def test_keys_put_null_last(spark):
+def test_keys_put_null_last(spark, tmp_path):
     members = spark.createDataFrame([("a", None), ("a", 2), ("b", 1)], "t string, q int")
-    keyed = assign_keys(members, ["t", "q"], "sk", 0)
+    keyed = assign_keys(members, ["t", "q"], "sk", 0, str(tmp_path / "m"))
     assert [tuple(r) for r in keyed.orderBy("sk").collect()] == [
         (1, "a", 2), (2, "a", None), (3, "b", 1)
     ]
 
 
-def test_no_members_no_keys(spark):
-    assert assign_keys(spark.createDataFrame([], "name string"), ["name"], "sk", 0) is None
+def test_no_members_no_keys(spark, tmp_path):
+    nobody = spark.createDataFrame([], "name string")
+    assert assign_keys(nobody, ["name"], "sk", 0, str(tmp_path / "m")) is None
 
 
 def test_hot_keys_are_few(spark):
@@ -51,13 +53,12 @@ def test_hot_keys_are_few(spark):
     frame = spark.createDataFrame(rows, "t string, q int")
 
     def found(frame, **options):
-        return [tuple(r) for r in hot_keys(frame, ["t", "q"], **options).collect()]
+        return [tuple(r) for r in hot_keys(frame, ["t", "q"], rows=frame.count(), **options).collect()]
 
-    assert found(frame, hot_share=10) == [("hot", None)]
-    assert found(frame, hot_share=10, sampled_rows=300) == [("hot", None)]
+    assert found(frame, hot_share=10) == [("hot", None, 7)]
+    assert [key[:2] for key in found(frame, hot_share=10, sampled_rows=300)] == [("hot", None)]
     assert found(frame, hot_share=1) == []
     assert found(frame.limit(0), hot_share=10) == []
-    assert len(found(frame, hot_share=100_000)) == 1001
 
 
 def test_broadcast_is_decided_by_measured_size(spark):
@@ -79,7 +80,7 @@ def test_join_gives_the_same_on_every_path(spark, how, byte_limit):
     keyed = spark.createDataFrame(members, "kt string, kq int, sk int")
     joined = join_keyed(
         large, keyed, {"kt": "t", "kq": "q"}, "n", how, frozenset({"kq"}),
-        byte_limit=byte_limit, hot_share=20, salts=8,
+        byte_limit=byte_limit, hot_share=20,
     )
     assert joined.columns == ["n", "t", "q", "sk"]
     found = {(t, q): sk for t, q, sk in members}
@@ -91,6 +92,30 @@ def test_join_gives_the_same_on_every_path(spark, how, byte_limit):
     assert ("_salt" in plan) == (byte_limit == 0)
 
 
+def test_largest_task_is_bounded_at_many_partitions(spark):
+    """A key with 30 % of the rows and one with 0.2 %, neither of which may fill a task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "1000",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        n = 300_000
+        key = F.when(F.col("id") % 10 < 3, -1).when(F.col("id") % 500 == 7, -2)
+        large = spark.range(n).select(F.col("id").alias("n"), key.otherwise(F.col("id")).alias("k"))
+        keyed = spark.range(-2, n).select(F.col("id").alias("key"), F.col("id").alias("sk"))
+        joined = join_keyed(large, keyed, {"key": "k"}, "n", byte_limit=0)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count"), F.sum("count"))
+        largest, total = sizes.first()
+        assert total == n and largest <= 5 * n / 1000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_salting_splits_a_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -101,7 +126,7 @@ def test_salting_splits_a_hot_key(spark):
             F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
         )
         keyed = spark.range(9000).select(F.col("id").alias("key"), F.col("id").alias("sk"))
-        joined = join_keyed(large, keyed, {"key": "k"}, "n", byte_limit=0, salts=16)
+        joined = join_keyed(large, keyed, {"key": "k"}, "n", byte_limit=0)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert max(row["count"] for row in sizes) < 2000
         assert joined.where("sk = k").count() == 9000
@@ -192,7 +217,7 @@ BATCH = [
 def test_fact_rows(spark, warehouse, byte_limit):
     batch = staged_rows(spark, *BATCH)
     load_dimensions(warehouse, batch)
-    rows = fact_rows(batch, warehouse.dimensions(), 100, byte_limit, hot_share=3, salts=4)
+    rows = fact_rows(batch, warehouse.dimensions(), 100, byte_limit, hot_share=3)
     got = {r.sk_venda: r for r in rows.collect()}
     assert sorted(got) == [101, 102, 104, 105]
     assert (got[101].sk_produto, got[102].sk_produto) == (1, -1)
@@ -204,17 +229,75 @@ def test_fact_rows(spark, warehouse, byte_limit):
             assert row[dimension.surrogate] in members | {-1}
 
 
-def test_fact_append_doubles_and_overwrite_does_not(spark, warehouse):
+def test_a_new_run_appends_and_a_repeated_one_replaces_itself(spark, warehouse):
     batch = staged_rows(spark, *BATCH)
     load_dimensions(warehouse, batch)
-    load_fact(warehouse, batch)
-    load_fact(warehouse, batch)
+    first = load_fact(warehouse, batch, "vendas")
+    assert load_fact(warehouse, batch, "vendas") == first
+    assert warehouse.fact().count() == 4
+    for name in ("second", "third"):
+        load_fact(warehouse, batch, "vendas", batch=name)
     fact = warehouse.fact()
-    assert fact.count() == 8 and fact.select("sk_venda").distinct().count() == 8
-    load_fact(warehouse, batch, "overwrite")
+    assert fact.count() == 12 and fact.select("sk_venda").distinct().count() == 12
+    load_fact(warehouse, batch, "vendas", "overwrite", "fourth")
     assert warehouse.read(FACT_TABLE).count() == 4
     with pytest.raises(ValueError):
-        load_fact(warehouse, batch, "merge")
+        load_fact(warehouse, batch, "vendas", "merge")
+    with pytest.raises(ValueError):
+        load_fact(warehouse, batch, "vendas", batch="../x")
+
+
+def test_a_failing_overwrite_leaves_the_old_fact(spark, warehouse):
+    batch = staged_rows(spark, *BATCH)
+    load_dimensions(warehouse, batch)
+    load_fact(warehouse, batch, "vendas")
+    before = sorted(map(tuple, warehouse.fact().collect()))
+    fails = F.when(F.col("staging_id") > 1, F.raise_error(F.lit("lost")).cast("int"))
+    broken = batch.withColumn("purchase_rating", fails)
+    for name in (None, "another"):
+        with pytest.raises(Exception, match="lost"):
+            load_fact(warehouse, broken, "vendas", "overwrite", name or "new")
+        assert sorted(map(tuple, warehouse.fact().collect())) == before
+    load_fact(warehouse, batch, "vendas", "overwrite", "new")
+    assert warehouse.fact().count() == 4
+
+
+def test_overwriting_one_collection_leaves_the_others(spark, warehouse):
+    batch = staged_rows(spark, *BATCH)
+    load_dimensions(warehouse, batch)
+    for _ in range(2):
+        load_fact(warehouse, batch, "a", "overwrite")
+        load_fact(warehouse, batch.limit(1), "b", "overwrite")
+    assert warehouse.fact().count() == 5
+    assert warehouse.fact().select("sk_venda").distinct().count() == 5
+    undated = batch.withColumn("purchase_date", F.lit(None).cast("date"))
+    load_fact(warehouse, undated, "a", "overwrite", "empty_one")
+    assert warehouse.fact().count() == 1
+
+
+def test_a_load_reads_no_more_of_the_fact_than_the_last_lot(spark, warehouse):
+    batch = staged_rows(spark, *BATCH)
+    load_dimensions(warehouse, batch)
+    for i in range(3):
+        load_fact(warehouse, batch, "vendas", batch=f"b{i}")
+    lots = warehouse.fact_lots()
+    assert len({lot.first_sale for lot in lots}) == 3
+    last = max(lots, key=lambda lot: lot.first_sale)
+    assert len(warehouse.fact_lot(last).inputFiles()) >= 1
+    plan = warehouse.fact_lot(last)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(collection" in plan
+    for lot in lots:
+        folder = f"{warehouse.location}/{FACT_TABLE}/collection=vendas/lote={lot.name}"
+        if lot != last:
+            remove_path(spark, folder)
+    assert load_fact(warehouse, batch, "vendas", batch="b3").first_sale > last.first_sale
+
+
+def test_no_scratch_files_stay(spark, warehouse):
+    from pathlib import Path
+
+    load_dimensions(warehouse, staged_rows(spark, *BATCH))
+    assert list(Path(warehouse.location, "_scratch").rglob("*")) == []
 
 
 def test_unmatched_date_becomes_unknown(spark, warehouse):

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fixtures.oracle import oracle_sql
+from fixtures.queries import queries
 from quitanda.plans.marts import MARTS
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -23,10 +25,10 @@ def tables():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries()))
 def test_query_equals_its_oracle(spark, tables, name):
-    frame = entry.queries()[name](spark, SF_DIR)
-    oracle = tables.sql(entry.oracle_sql()[name])
+    frame = queries()[name](spark, SF_DIR)
+    oracle = tables.sql(oracle_sql()[name])
     assert sorted(frame.columns) == sorted(oracle.columns)
     got = [tuple(row) for row in frame.select(*oracle.columns).collect()]
     expected = oracle.fetchall()
@@ -40,4 +42,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_all_are_registered():
+    assert set(queries()) <= set(entry.queries())
+    assert set(oracle_sql()) <= set(entry.oracle_sql()) <= set(entry.queries())

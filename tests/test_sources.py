@@ -232,3 +232,22 @@ def test_cleaning_on_both_raw_forms(spark):
             "etl_load_timestamp": stamp,
         }
     assert clean_records(string_records(spark, [])).count() == 0
+
+
+def test_a_list_beyond_the_size_of_one_value_lands_whole(spark, tmp_path):
+    """A VARIANT holds 128 MiB at most; the list is larger than that."""
+    path, record = tmp_path / "large.json", json.dumps({"Preço": 1, "extra": "x" * 100_000})
+    with open(path, "w", encoding="utf-8") as file:
+        file.write("[\n" + ",\n".join([record] * 1400) + "\n]")
+    records = read_records(spark, str(path), multi_line=True)
+    extra = F.length(F.try_variant_get("record", "$.extra", "string"))
+    assert records.agg(F.count(price()), F.sum(extra)).first() == (1400, 140_000_000)
+
+
+def test_unknown_keys_land_and_repeated_ones_keep_the_last(spark, tmp_path):
+    for multi_line in (False, True):
+        records = feed(spark, tmp_path, '[{"Preço":1,"cor":"azul"},{"Preço":2}]', multi_line)
+        color = F.try_variant_get("record", "$.cor", "string").alias("cor")
+        assert sorted(map(tuple, records.select(price(), color).collect())) == [("1", "azul"), ("2", None)]
+        records = feed(spark, tmp_path, '[{"Preço":1,"Preço":2},{"Preço":3}]', multi_line)
+        assert sorted(r.p for r in records.select(price()).collect()) == ["2", "3"]
