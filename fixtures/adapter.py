@@ -5,7 +5,7 @@ The expressions are those of FIXTURES.md; the oracle states them again in its ow
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quitanda.operators.lookups import join_keyed
@@ -67,7 +67,43 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fields of every seventh order are written as JSON numbers where they are numbers.
+DECIMAL, WHOLE = r"^-?[1-9]\d*(\.\d*[1-9])?$", r"^[1-9]\d*$"
+NUMBER_FIELDS = {
+    "Preço": DECIMAL,
+    "Avaliação da compra": WHOLE,
+    "Quantidade de parcelas": WHOLE,
+    "lat": DECIMAL,
+}
+
+
+def _json_field(name: str) -> Column:
+    value = F.col(f"`{name}`")
+    if name not in NUMBER_FIELDS:
+        return value
+    is_number = (F.col("l_orderkey") % 7 == 1) & value.rlike(NUMBER_FIELDS[name])
+    quoted = F.concat(F.lit('"'), value, F.lit('"'))
+    return F.try_parse_json(F.when(is_number, value).otherwise(quoted))
+
+
+def _json_records(raw: DataFrame) -> DataFrame:
+    """Records as JSON, every eleventh order's without its NULL fields, the others' with them."""
+    record = F.struct(*[_json_field(name).alias(name) for name in RAW_FIELDS])
+    whole = F.to_json(record, {"ignoreNullFields": "false"})
+    short = F.col("l_orderkey") % 11 == 0
+    return raw.select("l_orderkey", F.when(short, F.to_json(record)).otherwise(whole).alias("value"))
+
+
 def write_feed(raw: DataFrame, path: str) -> None:
-    """Write raw records as a newline-delimited JSON feed; a NULL field is left out."""
-    record = F.struct(*[F.col(f"`{name}`") for name in RAW_FIELDS])
-    raw.select(F.to_json(record).alias("value")).write.text(path)
+    """Write raw records as a newline-delimited JSON feed, with numbers and nulls in it."""
+    _json_records(raw).select("value").write.text(path)
+
+
+def write_lists(raw: DataFrame, path: str, files: int = 4) -> None:
+    """Write raw records as JSON documents, each a list over many lines."""
+    part = F.pmod(F.xxhash64("l_orderkey"), F.lit(files))
+    records = F.array_join(F.collect_list("value"), ",\n")
+    documents = _json_records(raw).groupBy(part.alias("part")).agg(
+        F.concat(F.lit("[\n"), records, F.lit("\n]")).alias("value")
+    )
+    documents.repartitionByRange(files, "part").select("value").write.text(path)

@@ -351,7 +351,12 @@ RELATIONS = {"staging_produtos_ecommerce": "stg", "fato_vendas": "fato"}
 
 
 def _nulls(table: str, column: str) -> str:
-    test = "false" if column in GENERATED else f"{column} is null"
+    place = REQUIRED[table].index(column)
+    key = f"sk_{table.removeprefix('dim_')}"
+    planted = f"{key} % {place + 2} = 0" if key in REQUIRED[table] and table.startswith("dim_") else (
+        f"purchase_rating = {1 + place % 5}"
+    )
+    test = planted if column in GENERATED else f"{planted} or {column} is null"
     return (
         f"select '{table}' as table_name, '{column}' as column_name, "
         f"count(*) filter (where {test}) as null_rows from {RELATIONS.get(table, table)}"
@@ -378,8 +383,24 @@ def _domain_oracle() -> str:
 wide as (
   select {DEFAULTED}, {", ".join(f"{sql} as {name}" for name, sql in ints.items())},
     {", ".join(f"{sql} as {name}" for name, sql in coordinates.items())}
-  from raw_sales
+  from planted
 )"""
+    beyond = {
+        "raw_preco": (401, "'50000000'"),
+        "raw_frete": (409, "'R$ 99999999.99'"),
+        "raw_avaliacao": (419, "'99999999999'"),
+        "raw_parcelas": (421, "'-99999999999'"),
+        "raw_categoria": (431, "repeat('c', 300)"),
+        "raw_pagamento": (433, "repeat('p', 51)"),
+        "raw_local": (439, "'long place'"),
+        "raw_lat": (443, "'1234.5'"),
+        "raw_lon": (449, "'-1e9'"),
+    }
+    replaced = ", ".join(
+        f"case when l_orderkey % {n} = 0 then {value} else {name} end as {name}"
+        for name, (n, value) in beyond.items()
+    )
+    planted = f"planted as (select * replace ({replaced}) from raw_sales)"
     rows = [_violations(c, f"length <= {n}", f"length({c}) > {n}") for c, n in lengths.items()]
     rows.append(
         _violations(
@@ -392,7 +413,7 @@ wide as (
     rows += [
         _violations(c, "fits decimal(10,7)", f"round(abs({c}), 7) >= 1000") for c in coordinates
     ]
-    return f"with {RAW}, {wide}\n" + "\nunion all\n".join(rows)
+    return f"with {RAW}, {planted}, {wide}\n" + "\nunion all\n".join(rows)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -406,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
     oracles = {name: _from_warehouse(select) for name, select in MARTS.items()}
     oracles |= {
         "src_json_records": _from_raw(f"select {RENAMED} from raw_sales"),
+        "src_json_list": _from_raw(f"select {RENAMED} from raw_sales"),
         "raw_scan_filter_project_sort_limit": _from_raw(
             f"""select {KEYS}, raw_produto as produto, raw_preco as preco,
   raw_vendedor as vendedor
@@ -434,6 +456,10 @@ order by l_orderkey desc, l_linenumber desc, l_partkey desc, l_suppkey desc limi
         "staging_from_json": staging,
         "fato_vendas": fact,
         "fato_vendas_from_json": fact,
+        "fato_vendas_append_twice": _from_warehouse(
+            f"select {MEASURES} from fato union all select {MEASURES} from fato"
+        ),
+        "fato_vendas_two_collections": fact,
         "dq_rejects": _from_raw(
             "\nunion all\n".join(
                 f"select '{name}' as field, count(*) filter (where {_rejected(name)}) as rejects "
@@ -463,7 +489,8 @@ order by l_orderkey desc, l_linenumber desc, l_partkey desc, l_suppkey desc limi
         "dq_duplicate_members": _from_warehouse(
             "\nunion all\n".join(
                 f"select 'dim_{name}' as dimension, count(*) as duplicated_keys from "
-                f"(select 1 from dim_{name} group by {spec['order'].replace(' nulls last', '')} "
+                f"(select 1 from (select * from dim_{name} union all "
+                f"select * from dim_{name} where sk_{name} % 3 = 0) m group by {spec['order'].replace(' nulls last', '')} "
                 "having count(*) > 1) t"
                 for name, spec in DIMENSIONS.items()
             )

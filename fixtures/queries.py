@@ -18,6 +18,7 @@ from quitanda.schema import (
     FIELD_MAP,
     STAGING_COLUMNS,
     STAGING_TABLE,
+    TABLES_BY_NAME,
     TEXT_FIELDS,
     Dimension,
 )
@@ -93,8 +94,8 @@ def _load_timestamp(fixture: SalesFixture) -> DataFrame:
     )
 
 
-def _json_records(fixture: SalesFixture) -> DataFrame:
-    picked = cleaning.select_fields(fixture.feed)
+def _json_records(records: DataFrame) -> DataFrame:
+    picked = cleaning.select_fields(records)
     return picked.select(
         "product_id",
         *[
@@ -132,13 +133,58 @@ def _stage_counts(fixture: SalesFixture) -> DataFrame:
     return quality.stage_counts(stages | warehouse.dimensions() | {"fato": warehouse.fact()})
 
 
+def _duplicated(fixture: SalesFixture) -> dict[str, DataFrame]:
+    """The dimensions with every third member twice."""
+    tables = fixture.loaded.dimensions()
+    again = {d.table: tables[d.table].where(F.col(d.surrogate) % 3 == 0) for d in DIMENSIONS}
+    return {name: table.unionByName(again[name]) for name, table in tables.items()}
+
+
+def _with_nulls(name: str, table: DataFrame) -> DataFrame:
+    """Required columns emptied: in sales by their rating, in members by their key."""
+    required = [c.name for c in TABLES_BY_NAME[name].columns if c.required and c.name in table.columns]
+    keys = {d.table: d.surrogate for d in DIMENSIONS}
+    emptied = {}
+    for i, column in enumerate(required):
+        if name in keys:
+            test = F.col(keys[name]) % (i + 2) == 0
+        else:
+            test = F.coalesce(F.col("purchase_rating") == 1 + i % 5, F.lit(False))
+        emptied[column] = F.when(~test, F.col(column))
+    return table.withColumns(emptied)
+
+
 def _null_violations(fixture: SalesFixture) -> DataFrame:
     warehouse = fixture.loaded
+    tables = {
+        STAGING_TABLE: warehouse.staging(COLLECTION),
+        **warehouse.dimensions(),
+        FACT_TABLE: warehouse.fact(),
+    }
     return quality.null_violations(
+        {name: _with_nulls(name, table) for name, table in tables.items()}
+    )
+
+
+# Raw field, remainder of the order number, and a value its column can't hold.
+BEYOND = {
+    "Preço": (401, "50000000"),
+    "Frete": (409, "R$ 99999999.99"),
+    "Avaliação da compra": (419, "99999999999"),
+    "Quantidade de parcelas": (421, "-99999999999"),
+    "Categoria do Produto": (431, "c" * 300),
+    "Tipo de pagamento": (433, "p" * 51),
+    "Local da compra": (439, "long place"),
+    "lat": (443, "1234.5"),
+    "lon": (449, "-1e9"),
+}
+
+
+def _out_of_range(raw: DataFrame) -> DataFrame:
+    return raw.withColumns(
         {
-            STAGING_TABLE: warehouse.staging(COLLECTION),
-            **warehouse.dimensions(),
-            FACT_TABLE: warehouse.fact(),
+            name: F.when(F.col("l_orderkey") % divisor == 0, F.lit(value)).otherwise(F.col(f"`{name}`"))
+            for name, (divisor, value) in BEYOND.items()
         }
     )
 
@@ -162,7 +208,8 @@ def _mart(name: str) -> Callable[[SalesFixture], DataFrame]:
 
 ON_FIXTURE: dict[str, Callable[[SalesFixture], DataFrame]] = {
     **{name: _mart(name) for name in MARTS},
-    "src_json_records": _json_records,
+    "src_json_records": lambda fixture: _json_records(fixture.feed),
+    "src_json_list": lambda fixture: _json_records(fixture.lists),
     "raw_scan_filter_project_sort_limit": _raw_scan,
     "t_select_rename": _picked,
     "t_product_id": lambda fixture: _picked(fixture).select(*ROW_KEYS, "product_id"),
@@ -186,10 +233,16 @@ ON_FIXTURE: dict[str, Callable[[SalesFixture], DataFrame]] = {
     **_by_dimension("dim_incremental_", lambda fixture: fixture.loaded_in_two),
     "fato_vendas": lambda fixture: fixture.loaded.fact().select(*FACT_MEASURES),
     "fato_vendas_from_json": lambda fixture: fixture.run_from_feed.fact().select(*FACT_MEASURES),
+    "fato_vendas_append_twice": lambda fixture: fixture.appended_twice.fact().select(
+        *FACT_MEASURES
+    ),
+    "fato_vendas_two_collections": lambda fixture: fixture.two_collections.fact().select(
+        *FACT_MEASURES
+    ),
     "dq_rejects": lambda fixture: quality.reject_counts(fixture.raw),
     "dq_rejected_values": lambda fixture: quality.rejected_values(fixture.raw),
     "dq_stage_counts": _stage_counts,
-    "dq_duplicate_members": lambda fixture: quality.duplicate_members(fixture.loaded.dimensions()),
+    "dq_duplicate_members": lambda fixture: quality.duplicate_members(_duplicated(fixture)),
     "dq_null_violations": _null_violations,
     "dq_fk_orphans": lambda fixture: quality.orphan_keys(
         fixture.loaded.fact(), fixture.loaded.dimensions()
@@ -198,7 +251,7 @@ ON_FIXTURE: dict[str, Callable[[SalesFixture], DataFrame]] = {
         fixture.loaded.staging(COLLECTION), fixture.loaded.dimensions()
     ),
     "dq_domain_violations": lambda fixture: quality.domain_violations(
-        cleaning.clean_records(fixture.raw)
+        cleaning.clean_records(_out_of_range(fixture.raw))
     ),
 }
 

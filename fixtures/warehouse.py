@@ -13,8 +13,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixtures.adapter import raw_sales, write_feed
+from fixtures.adapter import raw_sales, write_feed, write_lists
 from quitanda.operators.cleaning import clean_records
+from quitanda.operators.fact import load_fact
 from quitanda.plans.batch import BatchConfig, run_batch
 from quitanda.plans.populate import load_dimensions, populate
 from quitanda.settings import new_shared_path
@@ -58,6 +59,16 @@ class SalesFixture:
     def feed(self) -> DataFrame:
         return read_records(self.spark, self.feed_path)
 
+    @property
+    def lists(self) -> DataFrame:
+        return read_records(self.spark, self.lists_path, multi_line=True)
+
+    @cached_property
+    def lists_path(self) -> str:
+        path = f"{self.root}/lists"
+        write_lists(self.raw, path)
+        return path
+
     @cached_property
     def staged(self) -> Warehouse:
         warehouse = self._database("loaded")
@@ -79,6 +90,29 @@ class SalesFixture:
         load_dimensions(warehouse, batch.where(~early))
         return warehouse
 
+    def _facts(self, label: str) -> Warehouse:
+        warehouse = self._database(label)
+        load_dimensions(warehouse, self.staged.staging(COLLECTION))
+        return warehouse
+
+    @cached_property
+    def appended_twice(self) -> Warehouse:
+        """A batch loaded by two runs, the second of which was repeated after a failure."""
+        warehouse, batch = self._facts("twice"), self.staged.staging(COLLECTION)
+        for run in ("first", "second", "second"):
+            load_fact(warehouse, batch, COLLECTION, batch=run)
+        return warehouse
+
+    @cached_property
+    def two_collections(self) -> Warehouse:
+        """Early sales and the others in collections of their own, each overwritten once."""
+        warehouse, batch = self._facts("collections"), self.staged.staging(COLLECTION)
+        early = F.coalesce(F.col("purchase_date") < F.lit(SECOND_BATCH_FROM), F.lit(False))
+        for run in ("first", "second"):
+            load_fact(warehouse, batch.where(early), "early", "overwrite", run)
+            load_fact(warehouse, batch.where(~early), "late", "overwrite", run)
+        return warehouse
+
     @cached_property
     def run_from_feed(self) -> Warehouse:
         """A full batch run from the JSON feed."""
