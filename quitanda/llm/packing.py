@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import ChainMap
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quitanda.llm.common import map_rows
+from quitanda.llm.common import map_batches
 
 SEQUENCE = 1024
 END_ID = 0
 
-# A cut before a space that a non-space follows never splits a pre-token.
+# A cut before a space that a non-space follows never splits a pre-token. Texts with other
+# spaces are encoded as they are.
 _RUN = re.compile(r" (?:\s|$)")
-_CUT = re.compile(r" (?=\S)")
 _CACHED_WORDS = 300_000
 
 
@@ -30,38 +31,84 @@ def piece_lengths(n_tokens: int, sequence: int = SEQUENCE) -> Iterator[int]:
             rest -= length
 
 
+def byte_level(tokens: Iterable[str]) -> Iterator[bytes]:
+    """Bytes that byte-level vocabulary entries stand for.
+
+    Printable Latin-1 characters stand for themselves, and those from 256 on for the other
+    bytes in order.
+    """
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    table = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
+    return (bytes(map(table.__getitem__, token)) for token in tokens)
+
+
+def read_encoding(tokenizer_path: str, pattern: str):
+    """The tokenizer of a tokenizers file as a tiktoken encoding, which gives the same ids."""
+    import json
+
+    import tiktoken
+
+    with open(tokenizer_path, encoding="utf-8") as file:
+        tokenizer = json.load(file)
+    special = {token["content"]: token["id"] for token in tokenizer["added_tokens"]}
+    vocabulary = {t: i for t, i in tokenizer["model"]["vocab"].items() if t not in special}
+    ranks = dict(zip(byte_level(vocabulary), vocabulary.values()))
+    return tiktoken.Encoding(
+        "packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special
+    )
+
+
 class DocumentEncoder:
-    """Token ids of whole texts as little-endian 32-bit bytes, with each word encoded once.
+    """Token ids of whole texts as little-endian 32-bit bytes.
 
-    The cache of words is emptied when it is full, so memory does not grow with the texts.
+    Words are encoded once while there is room for them in the cache; the words that a batch
+    of texts adds go through the tokenizer as one text and are told apart by their space.
     """
 
-    def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
+    def __init__(self, tokenizer_path: str, pattern: str):
+        import numpy as np
 
-        self._tokenizer = Tokenizer.from_file(tokenizer_path)
+        self._encoding = read_encoding(tokenizer_path, pattern)
+        self._starts = np.zeros(self._encoding.n_vocab, bool)
+        for token, i in self._encoding._mergeable_ranks.items():
+            self._starts[i] = token.startswith(b" ")
         self._words: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, text: str):
         import numpy as np
 
-        encoded = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in encoded]
+        return np.array(self._encoding.encode(text, allowed_special="all"), "<u4")
 
-    def encode(self, text: str) -> bytes:
-        words = _CUT.split(text) if _RUN.search(text) else text.split(" ")
-        first = self._ids([words[0]])[0] if words[0] else b""
-        del words[0]
-        if len(self._words) > _CACHED_WORDS:
-            self._words.clear()
-        new = list(set(words) - self._words.keys())
-        self._words.update(zip(new, self._ids([f" {word}" for word in new])))
-        return first + b"".join(map(self._words.__getitem__, words))
+    def _encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        import numpy as np
+
+        ids = self._ids(" " + " ".join(words))
+        edges = [*(4 * np.flatnonzero(self._starts[ids])).tolist(), 4 * len(ids)]
+        raw = ids.tobytes()
+        return ((w, raw[i:j]) for w, i, j in zip(words, edges, edges[1:]))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        split = [None if _RUN.search(text) else text.split(" ") for text in texts]
+        words = self._words
+        new = {w for own in split if own for w in own[1:] if w not in words}
+        if new:
+            found = dict(self._encode_words(list(new)))
+            if len(words) < _CACHED_WORDS:
+                words.update(found)
+                found = {}
+            words = ChainMap(words, found) if found else words
+        for text, own in zip(texts, split):
+            if own is None:
+                yield self._ids(text).tobytes()
+            else:
+                yield self._ids(own[0]).tobytes() + b"".join(map(words.__getitem__, own[1:]))
 
 
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
+    pattern: str,
     key: str = "doc_id",
     text: str = "text",
     sequence: int = SEQUENCE,
@@ -72,7 +119,8 @@ def pack(
     rest, one piece for each binary digit of its length. Each piece is a sequence of its own
     (offset 0), so its length is a power of two, no sequence crosses documents and none is
     padded. ``bucket`` is the exponent of the length: batches are drawn from one bucket.
-    ``ids`` holds unsigned little-endian 32-bit integers.
+    ``ids`` holds unsigned little-endian 32-bit integers. ``pattern`` is the regular
+    expression by which the tokenizer parts words.
 
     A null text counts as empty: one piece with ``END_ID`` alone. Rows with the same key or
     text are packed each on its own. One narrow stage, no shuffle; sequence ids come from
@@ -82,22 +130,24 @@ def pack(
         raise ValueError("sequence must be a power of two")
 
     def start_encoder():
-        encoder = DocumentEncoder(tokenizer_path)
+        encoder = DocumentEncoder(tokenizer_path, pattern)
         end = END_ID.to_bytes(4, "little")
 
-        def row(k, body):
-            ids = encoder.encode(body or "") + end
-            total, start, pieces = len(ids) // 4, 0, []
+        def cut(k, ids):
+            total, start = len(ids) // 4, 0
             for length in piece_lengths(total, sequence):
                 piece = ids[4 * start : 4 * (start + length)]
-                pieces.append((k, start, length, length.bit_length() - 1, piece, total))
+                yield k, start, length, length.bit_length() - 1, piece, total
                 start += length
-            return pieces
 
-        return row
+        def rows(keys, texts):
+            encoded = encoder.encode([text or "" for text in texts])
+            return [piece for k, ids in zip(keys, encoded) for piece in cut(k, ids + end)]
+
+        return rows
 
     kind = dict(docs.dtypes)[key]
-    pieces = map_rows(
+    pieces = map_batches(
         docs.select(F.col(key).alias("k"), F.col(text).alias("t")),
         start_encoder,
         f"k {kind}, start bigint, length bigint, bucket int, ids binary, doc_tokens bigint",

@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_PATTERN = public_tokenizers.PATTERN
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack(read_table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+    pieces = pack(read_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, BYTE_PATTERN)
     return pieces.select(
         "doc_id",
         "start",
