@@ -105,6 +105,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -117,4 +123,5 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_fingerprints": op9_fingerprints,
         "op10_html_text": op10_html_text,
+        "pipeline": pipeline,
     }

@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import corpus_pipeline
+import duckdb
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from quitanda.llm.oracle import oracle_sql
+from quitanda.llm.queries import queries
+from tests.llm.helpers import ODD_TEXTS, clashing, docs_table
+from tests.llm.test_jaccard import brute, near_copies
+from tests.llm.test_quality import brute_kept
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_near_duplicates_leave_one_of_each_group(spark):
+    texts = near_copies(5, 25, 120) + ["own text", "", None, ""] + ODD_TEXTS
+    docs = clashing(docs_table(spark, texts))
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    expected = [i for i, _, root in brute(texts, 5, 80) if i == root]
+    assert sorted(r.doc_id for r in kept.collect()) == expected
+
+
+def test_quality_stage_equals_brute_force(spark):
+    texts = near_copies(6, 10, 60) + ["### " * 30, "A B " * 40, None, "few words"]
+    docs = clashing(docs_table(spark, texts))
+    kept = corpus_pipeline.quality_rules(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [
+        i for i, t in enumerate(texts) if t and brute_kept(t)
+    ]
+
+
+@pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables not present")
+def test_toxic_documents_go(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = corpus_pipeline.toxicity(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert 0 < kept.count() <= docs.count()
+
+
+def test_packing_stage_holds_every_document(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = docs_table(spark, ODD_TEXTS)
+    pieces = corpus_pipeline.packing(spark, docs, SF_DIR).collect()
+    for i, text in enumerate(ODD_TEXTS):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert sum(p.length for p in pieces if p.doc_id == i) == len(ids) + 1
+
+
+@pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables not present")
+def test_whole_run(spark):
+    assert [name for name, _ in corpus_pipeline.STAGES][0] == "toxicity"
+    rows = corpus_pipeline.run(spark, SF_DIR)
+    assert rows.count() > 0
+    assert set(queries()) <= set(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def tables():
+    connection = duckdb.connect()
+    for file in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return connection
+
+
+@pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables not present")
+@pytest.mark.parametrize("name", list(oracle_sql()))
+def test_query_equals_its_oracle(spark, tables, name):
+    frame = queries()[name](spark, SF_DIR)
+    oracle = tables.sql(oracle_sql()[name])
+    assert sorted(frame.columns) == sorted(oracle.columns)
+    got = [tuple(row) for row in frame.select(*oracle.columns).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, oracle.fetchall()))
+
+
+def test_random_texts_pass_every_stage_function(spark, tmp_path):
+    rng = random.Random(13)
+    texts = ["".join(chr(rng.randint(1, 0x3FF)) for _ in range(rng.randint(0, 300))) for _ in range(40)]
+    docs = docs_table(spark, texts)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2, i % 3 == 0) for i in range(40)], "doc_id bigint, quality int, flag boolean").selectExpr(
+        "doc_id", "quality", "cast(flag as int) toxic"
+    ).write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from hypothesis import given, strategies as st
+from pyspark.sql import functions as F
+
+from quitanda.llm.quality import (
+    BASE, RULES, Document, Rule, judge_quality, measure, order_rules, repeated_words
+)
+from tests.llm.helpers import ODD_TEXTS, clashing, docs_table, rows_of
+
+
+def brute_repeats(words, window=5):
+    grams = [tuple(words[i : i + window]) for i in range(len(words) - window + 1)]
+    covered = set()
+    for i, gram in enumerate(grams):
+        if grams.count(gram) > 1:
+            covered.update(range(i, i + window))
+    return len(covered)
+
+
+@given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=40))
+def test_repeated_words_equal_brute_force(words):
+    assert repeated_words(words) == brute_repeats(words)
+
+
+def test_features_of_a_text():
+    doc = Document("Ab #c\n\nAb #c\n \nx\x0by é")
+    assert [doc[name] for name in BASE] == [7, 11, 2, 1, 0]
+
+
+def brute_kept(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    return not (
+        n < 10
+        or 100 * brute_repeats(words) > 20 * n
+        or 100 * sum(c in "#*$%&|<>" for c in text) > 20 * n
+        or 100 * text.count("!") > 30 * n
+        or 100 * sum(not re.search(r"[A-Za-z]|[^\x00-\x7f]", w) for w in words) > 30 * n
+        or 100 * sum(bool(re.search("[A-Z]{2}", w)) for w in words) > 50 * n
+        or not 2 * n <= sum(map(len, words)) <= 15 * n
+    )
+
+
+def test_verdicts_equal_brute_force(spark):
+    random.seed(4)
+    pool = "the of and NOISE SHOUT!! ### a|b 12 word. another line\n é".split(" ")
+    texts = [" ".join(random.choices(pool, k=random.randint(0, 60))) for _ in range(150)]
+    judged = judge_quality(docs_table(spark, texts), report=BASE).collect()
+    for row in judged:
+        assert row.kept == brute_kept(texts[row.doc_id])
+        assert row.n_words == len(texts[row.doc_id].split())
+
+
+def test_odd_texts_and_clashing_columns(spark):
+    docs = clashing(docs_table(spark, ODD_TEXTS))
+    judged = judge_quality(docs, docs.columns, verdict="verdict")
+    assert judged.columns == [*docs.columns, "verdict"]
+    kept = {r.doc_id for r in judged.collect() if r.verdict}
+    assert kept == {6, 7, 9} or kept == {6, 7}
+    assert judge_quality(docs.limit(0)).count() == 0
+    twice = docs.union(docs)
+    assert judge_quality(twice).count() == 2 * len(ODD_TEXTS)
+
+
+def test_order_puts_rejections_per_cost_first_and_never_changes_verdicts(spark):
+    docs = docs_table(spark, ["bad words here"] * 30 + ["fine words here"] * 10)
+    slow = Rule("slow", ("n_repeat_words",), lambda d: sum(range(20_000)) < 0 or "bad" in d.text)
+    quick = Rule("quick", ("n_words",), lambda d: "bad" in d.text)
+    never = Rule("never", ("n_dup_lines",), lambda d: False)
+    assert [r.name for r in order_rules([never, slow, quick], docs)][0] == "quick"
+    for rules in ([never, slow, quick], [quick, slow, never]):
+        for ordered in (True, False):
+            judged = judge_quality(docs, rules=rules, ordered=ordered)
+            assert judged.where(F.col("kept")).count() == 10
+
+
+def test_measure_gives_each_rule_its_rejections():
+    found = measure(RULES, ["", "ten good words stand here in a row for you"])
+    assert found[0][1] == [True, False]
+
+
+@pytest.mark.parametrize("rows", [0, 1])
+def test_order_of_an_empty_sample(spark, rows):
+    assert len(order_rules(RULES, docs_table(spark, ["x"] * rows))) == len(RULES)
