@@ -56,6 +56,8 @@ def map_batches(frame: DataFrame, make: Callable[[], Callable], schema: str) ->
                 rows = step(*[column.to_pylist() for column in part.columns])
                 if rows:
                     yield record_batch(rows)
+                del part, rows
+            pa.default_memory_pool().release_unused()
         if rest := getattr(step, "rest", None):
             if rows := rest():
                 yield record_batch(rows)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -37,8 +37,9 @@ CALIBRATION = 3
 THRESHOLD = 0.3
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_COUNTED_WORDS = 200_000
-_CACHED_WORDS = 300_000
+_COUNTED_WORDS = 100_000
+_CACHED_WORDS = 150_000
+_WORDS_AT_ONCE = 5_000
 _PAD, _END = 1, 2
 
 
@@ -179,6 +180,11 @@ class EvidenceModel:
 
     def evidence(self, words: Sequence[str]) -> np.ndarray:
         """Toxic minus ordinary log-likelihood of each word."""
+        parts = range(0, len(words), _WORDS_AT_ONCE)
+        found = [self._evidence(words[at : at + _WORDS_AT_ONCE]) for at in parts]
+        return np.concatenate(found) if found else np.zeros(0)
+
+    def _evidence(self, words: Sequence[str]) -> np.ndarray:
         owner, grams, contexts = grams_of(words)
         found, ratio = _entry(grams[-1], self.gram_tags, self.gram_ratios)
         known, default = _entry(contexts[-1], self.context_tags, self.context_ratios)
@@ -269,11 +275,12 @@ class ToxicityModel:
 
 
 def _features(model: EvidenceModel, texts: list[list[str]], known: dict[str, float]):
-    if len(known) > _CACHED_WORDS:
-        known.clear()
     new = [word for word in set().union(*texts) if word not in known]
-    if new:
-        known.update(zip(new, model.evidence(new).tolist()))
+    found = dict(zip(new, model.evidence(new).tolist()))
+    if len(known) < _CACHED_WORDS:
+        known.update(found)
+    else:
+        known = ChainMap(known, found)
     for words in texts:
         evidence = np.fromiter(map(known.__getitem__, words), float, len(words))
         yield features_of(evidence, np.fromiter(map(len, words), np.int64, len(words)))
@@ -308,16 +315,20 @@ def train(
     null, and of documents that are not there, are left out; of several labels for a
     document the highest counts.
     """
-    folded = (
-        labels.where(F.col("toxic").isNotNull() & (fold_of(F.col("doc_id")) != HELD_OUT))
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+    folded = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id")
+    folded = folded.agg(F.max("toxic").alias("toxic"))
+    fold = fold_of(F.col("doc_id"))
+    texts = docs.select("doc_id", "text")
+    # Joined in the same way at every size: texts are shuffled once and not kept.
+    counted = texts.where(~fold.isin(HELD_OUT, CALIBRATION)).join(
+        folded.where(~fold.isin(HELD_OUT, CALIBRATION)).hint("merge"), "doc_id"
     )
-    texts = docs.where(fold_of(F.col("doc_id")) != HELD_OUT).select("doc_id", "text")
-    joined = written(texts.join(folded, "doc_id"), "toxicity-labelled")
-    calibrating = fold_of(F.col("doc_id")) == CALIBRATION
-    model = train_evidence(joined.where(~calibrating).select("text", "toxic"))
+    model = train_evidence(counted.select("text", "toxic"))
 
+    # At most ``calibration_rows`` labels, so the texts need not move for them.
+    few = folded.where(fold == CALIBRATION).orderBy(F.xxhash64("doc_id"), "doc_id")
+    few = docs.sparkSession.createDataFrame(few.limit(calibration_rows).collect(), folded.schema)
+    calibrating = texts.where(fold == CALIBRATION).join(F.broadcast(few), "doc_id")
     shared = model.shared(docs.sparkSession)
 
     def start():
@@ -329,14 +340,8 @@ def train(
 
         return rows
 
-    few = joined.where(calibrating)
-    total = few.count()
-    few = few.sample(fraction=min(1.0, calibration_rows / max(total, 1)), seed=5)
-    sample = (
-        map_batches(few.select("text", "toxic"), start, "x array<double>, y int")
-        .limit(calibration_rows)
-        .collect()
-    )
+    sample = map_batches(calibrating.select("text", "toxic"), start, "x array<double>, y int")
+    sample = sample.limit(2 * calibration_rows).collect()
     rows = np.array([row.x for row in sample], float).reshape(-1, N_FEATURES)
     weights = fit_logistic(rows, np.array([row.y > 0 for row in sample], float))
     return ToxicityModel(model, weights)
