@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import ChainMap
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,20 +14,15 @@ from quitanda.llm.common import map_batches
 
 SPACE = "▁"
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 300_000
 # Words above this many symbols are merged one by one from a heap: rounds would cost the
 # square of their length. Both give the same pieces.
 _ROUND_SYMBOLS = 128
 _NEVER = 1 << 40
 
 
-@dataclass(frozen=True)
-class Encoded:
-    """A word's pieces: how many, their ids joined by commas, and their decoded bytes."""
-
-    n: int
-    ids: str
-    text: bytes
+# A word's pieces: how many, their ids joined by commas, and their decoded bytes.
+Encoded = tuple[int, str, bytes]
 
 
 class PieceModel:
@@ -46,16 +41,19 @@ class PieceModel:
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))
         ]
         self.names = {i: model.id_to_piece(i) for i in normal}
+        self._names = {i: str(i) for i in normal}
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if any(SPACE in name.lstrip(SPACE) for name in self.names.values()):
             raise ValueError("pieces that run over a word's start can't be used")
+        self._texts = {i: name.replace(SPACE, " ").encode() for i, name in self.names.items()}
+        self._texts |= {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
         ids = {name: i for i, name in self.names.items()}
         scores = sorted({model.get_score(i) for i in normal}, reverse=True)
         order = {score: rank for rank, score in enumerate(scores)}
         ranks = {i: order[model.get_score(i)] for i in normal}
 
         # Symbols: pieces by id, then single characters that only occur inside pieces.
-        self.symbols = dict(ids)
+        self.symbols, self.first_char = dict(ids), len(model)
         for name in list(ids):
             for char in name:
                 self.symbols.setdefault(char, len(model) + len(self.symbols))
@@ -81,26 +79,25 @@ class PieceModel:
         found = self.keys[at] == wanted
         return np.where(found, self.ranks[at], _NEVER), self.merged[at]
 
-    def merge_rounds(self, words: list[list[int]]) -> list[list[tuple[int, int]]]:
-        """Symbols of each word after all merges, each with the place of its first character.
+    def merge_rounds(self, words: list[list[int]]):
+        """Symbols left after all merges, and with each its word and its first character's place.
 
         All words lie in one flat array. In each round every word finds the best rank of its
-        pairs and merges the leftmost pair that has it; the array is then compacted, and
-        words without a pair left leave it.
+        pairs and merges the leftmost pair that has it; the array is then compacted. Words
+        without a pair left leave it every few rounds.
         """
         import numpy as np
 
         lengths = np.array([len(word) for word in words], np.int64)
         symbol = np.fromiter((s for word in words for s in word), np.int64, int(lengths.sum()))
         owner = np.repeat(np.arange(len(words)), lengths)
-        start = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        place = np.arange(len(symbol)) - start
+        place = np.arange(len(symbol)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         done: list[tuple] = []
         rank = np.full(len(symbol), _NEVER, np.int64)
         merged = np.zeros(len(symbol), np.int64)
 
         def rate(at):
-            """Ranks of the pairs that begin at ``at``."""
+            """Ranks of the pairs that begin at ``at``, where a symbol of the word follows."""
             at = at[at + 1 < len(symbol)]
             at = at[owner[at] == owner[at + 1]]
             rank[at], merged[at] = self.look_up(symbol[at], symbol[at + 1])
@@ -110,13 +107,14 @@ class PieceModel:
             firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             sizes = np.diff(np.r_[firsts, len(owner)])
             best = np.minimum.reduceat(rank, firsts)
-            active = np.repeat(best < _NEVER, sizes)
-            if not active.all():
+            open_words = best < _NEVER
+            if 4 * np.count_nonzero(open_words) <= 3 * len(best):
+                active = np.repeat(open_words, sizes)
                 done.append((owner[~active], symbol[~active], place[~active]))
                 symbol, owner, place = symbol[active], owner[active], place[active]
                 rank, merged = rank[active], merged[active]
                 continue
-            hits = np.flatnonzero(rank == np.repeat(best, sizes))
+            hits = np.flatnonzero((rank == np.repeat(best, sizes)) & (rank < _NEVER))
             hits = hits[np.r_[True, owner[hits[1:]] != owner[hits[:-1]]]]
             symbol[hits] = merged[hits]
             left = np.ones(len(symbol), bool)
@@ -128,13 +126,11 @@ class PieceModel:
             before = moved[moved > 0] - 1
             before = before[owner[before] == owner[before + 1]]
             rate(np.concatenate([moved, before]))
-        result: list[list[tuple[int, int]]] = [[] for _ in words]
-        if done:
-            owner, symbol, place = (np.concatenate(column) for column in zip(*done))
-            order = np.argsort(owner, kind="stable")
-            for o, s, p in zip(owner[order].tolist(), symbol[order].tolist(), place[order].tolist()):
-                result[o].append((s, p))
-        return result
+        if not done:
+            return symbol, owner, place
+        owner, symbol, place = (np.concatenate(column) for column in zip(*done))
+        order = np.argsort(owner, kind="stable")
+        return symbol[order], owner[order], place[order]
 
     def merge_long(self, word: list[int]) -> list[tuple[int, int]]:
         """The same for one long word: best rank first, then leftmost, from a heap."""
@@ -165,30 +161,38 @@ class PieceModel:
         return [(s, at) for at, s in enumerate(symbol) if s >= 0]
 
     def encode_words(self, words: list[str]) -> list[Encoded]:
+        import numpy as np
+
         rows = [[self.symbols.get(char, self.unknown) for char in word] for word in words]
-        short = [i for i, row in enumerate(rows) if len(row) <= _ROUND_SYMBOLS]
-        pieces = [[]] * len(rows)
-        for i, merged in zip(short, self.merge_rounds([rows[i] for i in short])):
-            pieces[i] = merged
-        for i, row in enumerate(rows):
+        rounds = [row if len(row) <= _ROUND_SYMBOLS else [] for row in rows]
+        symbol, owner, place = self.merge_rounds(rounds)
+        edges = np.searchsorted(owner, np.arange(len(rows) + 1)).tolist()
+        strange = np.bincount(owner[symbol >= self.first_char], minlength=len(rows)).tolist()
+        symbol, place = symbol.tolist(), place.tolist()
+        names = [self._names.get(s, "") for s in symbol]
+        texts = [self._texts.get(s, b"") for s in symbol]
+        found = []
+        for word, row, i, j, odd in zip(words, rows, edges, edges[1:], strange):
             if len(row) > _ROUND_SYMBOLS:
-                pieces[i] = self.merge_long(row)
-        return [self._encoded(word, found) for word, found in zip(words, pieces)]
+                found.append(self._spelled(word, self.merge_long(row)))
+            elif odd:
+                found.append(self._spelled(word, list(zip(symbol[i:j], place[i:j]))))
+            else:
+                found.append((j - i, ",".join(names[i:j]), b"".join(texts[i:j])))
+        return found
 
-    def _encoded(self, word: str, pieces: list[tuple[int, int]]) -> Encoded:
+    def _spelled(self, word: str, pieces: list[tuple[int, int]]) -> Encoded:
+        """A word with characters that have no piece and are spelled in bytes."""
         ids: list[int] = []
         for symbol, place in pieces:
-            if symbol in self.names:
+            if symbol < self.first_char:
                 ids.append(symbol)
             else:
                 ids.extend(self.byte_ids[b] for b in word[place].encode())
-        return Encoded(len(ids), ",".join(map(str, ids)), self.decode_pieces(ids))
+        return len(ids), ",".join(map(str, ids)), self.decode_pieces(ids)
 
     def decode_pieces(self, ids: list[int]) -> bytes:
         """Text of the pieces as bytes: spaces for their mark, byte pieces as what they stand for."""
-        if not hasattr(self, "_texts"):
-            self._texts = {i: name.replace(SPACE, " ").encode() for i, name in self.names.items()}
-            self._texts |= {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
         return b"".join(map(self._texts.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
@@ -197,7 +201,7 @@ class PieceModel:
 
 
 class TextEncoder:
-    """Whole texts, with each distinct word merged once while it is in the bounded cache."""
+    """Whole texts, with each distinct word merged once while the cache has room for it."""
 
     def __init__(self, model: PieceModel):
         self.model = model
@@ -206,12 +210,15 @@ class TextEncoder:
     def encode(self, texts: list[str]) -> Iterator[list[Encoded]]:
         """The words of each text in order; none for the empty text."""
         split = [words_of(text) for text in texts]
-        if len(self._known) > _CACHED_WORDS:
-            self._known.clear()
-        new = list(set().union(*split) - self._known.keys())
+        known = self._known
+        new = [word for word in set().union(*split) if word not in known]
         if new:
-            self._known.update(zip(new, self.model.encode_words(new)))
-        return (list(map(self._known.__getitem__, words)) for words in split)
+            found = dict(zip(new, self.model.encode_words(new)))
+            if len(known) < _CACHED_WORDS:
+                known.update(found)
+            else:
+                known = ChainMap(known, found)
+        return (list(map(known.__getitem__, words)) for words in split)
 
 
 def words_of(text: str) -> list[str]:
@@ -225,9 +232,9 @@ def words_of(text: str) -> list[str]:
 
 def summed(words: list[Encoded]) -> tuple[int, str, str]:
     """Number of ids, the ids joined by commas, and the decoded text of a list of words."""
-    joined = ",".join([word.ids for word in words])
-    text = b"".join([word.text for word in words]).decode(errors="replace")
-    return sum([word.n for word in words]), joined, text.removeprefix(" ")
+    joined = ",".join([word[1] for word in words])
+    text = b"".join([word[2] for word in words]).decode(errors="replace")
+    return sum([word[0] for word in words]), joined, text.removeprefix(" ")
 
 
 def encode_and_decode(

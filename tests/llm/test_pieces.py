@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+
+from quitanda.llm.pieces import PieceModel, TextEncoder, encode_and_decode, summed
+from tests.llm.helpers import ODD_TEXTS, clashing, docs_table
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return PieceModel(PATH)
+
+
+def test_ids_and_texts_equal_the_library(model, library):
+    random.seed(6)
+    parts = ["a", "b", "the", " ", "  ", "\n", "\t", "▁", "é", "日", "🙂", "\x00", "ﬁ", "in", "er",
+             "    ", "!", "0", "<s>", "　", "�", "é", "thth", "aaaaaaaa"]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 40))) for _ in range(1500)]
+    encoder = TextEncoder(model)
+    for text, words in zip(texts, encoder.encode(texts)):
+        ids = library.encode(text)
+        n, joined, decoded = summed(words)
+        assert (n, joined) == (len(ids), ",".join(map(str, ids)))
+        assert decoded == library.decode(ids) == model.decode(ids)
+
+
+def test_heap_and_rounds_merge_alike(model):
+    random.seed(7)
+    words = ["".join(random.choices("▁theringaou", k=n)) for n in range(1, 120)]
+    rows = [[model.symbols[c] for c in word] for word in words]
+    symbol, owner, place = model.merge_rounds(rows)
+    merged = [(o, s, p) for o, row in enumerate(rows) for s, p in model.merge_long(row)]
+    assert list(zip(owner.tolist(), symbol.tolist(), place.tolist())) == merged
+    assert [len(column) for column in model.merge_rounds([])] == [0, 0, 0]
+
+
+def test_a_full_cache_changes_nothing(model, library, monkeypatch):
+    monkeypatch.setattr("quitanda.llm.pieces._CACHED_WORDS", 2)
+    encoder = TextEncoder(model)
+    for text in ("one two three", "four five six", "one six"):
+        words = next(encoder.encode([text]))
+        assert summed(words)[1] == ",".join(map(str, library.encode(text)))
+
+
+def test_odd_texts(spark, library):
+    docs = clashing(docs_table(spark, ODD_TEXTS))
+    found = {r.doc_id: r for r in encode_and_decode(docs, PATH).collect()}
+    for i, text in enumerate(ODD_TEXTS):
+        ids = library.encode(text or "")
+        assert found[i].n_tokens == len(ids)
+        assert found[i].ids == ",".join(map(str, ids))
+        assert found[i].decoded == library.decode(ids)
+    assert encode_and_decode(docs.union(docs), PATH).count() == 2 * len(ODD_TEXTS)
+    assert encode_and_decode(docs.limit(0), PATH).count() == 0
+
+
+def test_a_long_word_takes_little_more_than_linear_time(model, library):
+    word = "".join(random.Random(8).choices("theringaou", k=200_000))
+    words = next(TextEncoder(model).encode([word]))
+    ids = library.encode(word)
+    assert hashlib.sha256(summed(words)[1].encode()).digest() == hashlib.sha256(
+        ",".join(map(str, ids)).encode()
+    ).digest()
