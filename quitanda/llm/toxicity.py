@@ -10,24 +10,24 @@ from __future__ import annotations
 
 import math
 import re
-from collections import ChainMap, Counter
-from collections.abc import Sequence
+import zlib
+from collections import Counter
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quitanda.llm.common import map_batches, map_text, written
+from quitanda.llm.common import map_batches, written
 
 ORDER = 5
 DISCOUNT = 0.75
 
-# The model sent to the tasks: one entry per cell, whatever the size of the corpus. Of two
-# expressions that meet in a cell the more frequent one stays; the other counts as unseen.
-CELL_BITS = 20
+# Distinct words after which a block of texts ends: what a task holds when it scores them.
+BLOCK_WORDS = 200_000
 
 # Labelled rows that the last step, from evidence to a probability, is fitted on at most.
 CALIBRATION_ROWS = 20_000
@@ -38,7 +38,6 @@ THRESHOLD = 0.3
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _COUNTED_WORDS = 100_000
-_CACHED_WORDS = 150_000
 _WORDS_AT_ONCE = 5_000
 _PAD, _END = 1, 2
 
@@ -166,53 +165,66 @@ def shared_backoff(grams: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class EvidenceModel:
-    """Log-likelihood ratios by cell, for expressions and for contexts with an unseen next one."""
-
-    gram_tags: np.ndarray
-    gram_ratios: np.ndarray
-    context_tags: np.ndarray
-    context_ratios: np.ndarray
-
-    def shared(self, spark: SparkSession) -> Broadcast:
-        """Its arrays, of fixed size, for the tasks."""
-        arrays = self.gram_tags, self.gram_ratios, self.context_tags, self.context_ratios
-        return spark.sparkContext.broadcast(arrays)
-
-    def evidence(self, words: Sequence[str]) -> np.ndarray:
-        """Toxic minus ordinary log-likelihood of each word."""
-        parts = range(0, len(words), _WORDS_AT_ONCE)
-        found = [self._evidence(words[at : at + _WORDS_AT_ONCE]) for at in parts]
-        return np.concatenate(found) if found else np.zeros(0)
-
-    def _evidence(self, words: Sequence[str]) -> np.ndarray:
-        owner, grams, contexts = grams_of(words)
-        found, ratio = _entry(grams[-1], self.gram_tags, self.gram_ratios)
-        known, default = _entry(contexts[-1], self.context_tags, self.context_ratios)
-        value = np.where(found, ratio, np.where(known, default, 0.0))
-        return np.bincount(owner, value, len(words))
+    """Log-likelihood ratios as whole tables (hash, ratio), looked up by joins.
 
+    ``grams`` has every counted expression, ``contexts`` every counted context, for what comes
+    next there unseen.
+    """
 
-def _entry(hashes, tags, ratios):
-    cell = hashes & np.uint64((1 << CELL_BITS) - 1)
-    return tags[cell] == (hashes >> np.uint64(32)).astype(np.uint32), ratios[cell]
+    grams: DataFrame
+    contexts: DataFrame
 
+    def ratios_of(self, wanted: DataFrame) -> DataFrame:
+        """Rows (block, gram, ratio) for those of (block, gram, context) that have evidence."""
+        grams = self.grams.select(F.col("hash").alias("gram"), F.col("ratio").alias("seen"))
+        contexts = self.contexts.select(F.col("hash").alias("context"), F.col("ratio").alias("spare"))
+        found = wanted.join(grams, "gram", "left").join(contexts, "context", "left")
+        ratio = F.coalesce("seen", "spare")
+        return found.where(ratio.isNotNull()).select("block", "gram", ratio.alias("ratio"))
 
-def _table(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Entries (hash, ratio, n) as arrays over all cells: at most one entry for each."""
-    cells = entries.groupBy(F.col("hash").bitwiseAND((1 << CELL_BITS) - 1).alias("cell")).agg(
-        F.max_by(F.struct("hash", "ratio"), F.struct("n", "hash")).alias("kept")
-    )
-    found = cells.select("cell", "kept.hash", "kept.ratio").toPandas()
-    tags, ratios = np.zeros(1 << CELL_BITS, np.uint32), np.zeros(1 << CELL_BITS, np.float32)
-    cell, hashes = found["cell"].to_numpy(np.int64), found["hash"].to_numpy(np.int64)
-    tags[cell] = (hashes.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
-    ratios[cell] = found["ratio"].to_numpy(np.float32)
-    return tags, ratios
+    def evidence(self, words: Sequence[str]) -> np.ndarray:
+        """Toxic minus ordinary log-likelihood of each word, for a few words at the driver."""
+        grams, contexts = distinct_grams(words)
+        rows = [(0, *pair) for pair in zip(grams.tolist(), contexts.tolist())]
+        spark = self.grams.sparkSession
+        wanted = spark.createDataFrame(rows, "block bigint, gram bigint, context bigint")
+        found = self.ratios_of(wanted).collect()
+        return evidence_of(words, [row.gram for row in found], [row.ratio for row in found])
+
+
+def distinct_grams(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct expressions of ORDER characters in words, and of their contexts."""
+    grams, contexts = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    for at in range(0, len(words), _WORDS_AT_ONCE):
+        _, found, before = grams_of(words[at : at + _WORDS_AT_ONCE])
+        grams, first = np.unique(np.concatenate([grams, found[-1]]), return_index=True)
+        contexts = np.concatenate([contexts, before[-1]])[first]
+    return grams.view(np.int64), contexts.view(np.int64)
+
+
+def evidence_of(words: Sequence[str], grams: Sequence[int], ratios: Sequence[float]) -> np.ndarray:
+    """Sums of the ratios of each word's expressions; those not in ``grams`` have none."""
+    hashes = np.array(grams, np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, values = hashes[order], np.array(ratios, float)[order]
+    found = [np.zeros(0)]
+    for start in range(0, len(words) if len(hashes) else 0, _WORDS_AT_ONCE):
+        part = words[start : start + _WORDS_AT_ONCE]
+        owner, wanted, _ = grams_of(part)
+        at = np.minimum(np.searchsorted(hashes, wanted[-1]), len(hashes) - 1)
+        value = np.where(hashes[at] == wanted[-1], values[at], 0.0)
+        found.append(np.bincount(owner, value, len(part)))
+    return np.concatenate(found) if len(hashes) else np.zeros(len(words))
 
 
 def train_evidence(labelled: DataFrame) -> EvidenceModel:
     """The two models from all rows (text, toxic), as ratios."""
-    grams = written(count_grams(count_words(labelled)), "toxicity-grams")
+    return evidence_from(count_words(labelled))
+
+
+def evidence_from(words: DataFrame) -> EvidenceModel:
+    """The two models from rows (word, toxic, ordinary); a word may have several."""
+    grams = written(count_grams(words), "toxicity-grams")
     context, below = f"c{ORDER}", f"g{ORDER - 1}"
     after = Window.partitionBy(context)
     rows = grams.join(shared_backoff(grams), below)
@@ -227,16 +239,14 @@ def train_evidence(labelled: DataFrame) -> EvidenceModel:
     rows = rows.select(
         f"g{ORDER}",
         context,
-        (F.col("toxic") + F.col("ordinary")).alias("n"),
         (logs[0] - logs[1]).alias("ratio"),
         (spare[0] - spare[1]).alias("spare"),
     )
     rows = written(rows, "toxicity-ratios")
-    contexts = rows.groupBy(F.col(context).alias("hash")).agg(
-        F.first("spare").alias("ratio"), F.sum("n").alias("n")
-    )
+    contexts = rows.groupBy(F.col(context).alias("hash")).agg(F.first("spare").alias("ratio"))
     return EvidenceModel(
-        *_table(rows.select(F.col(f"g{ORDER}").alias("hash"), "ratio", "n")), *_table(contexts)
+        rows.select(F.col(f"g{ORDER}").alias("hash"), "ratio"),
+        written(contexts, "toxicity-contexts"),
     )
 
 
@@ -256,34 +266,142 @@ N_FEATURES = 5
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    evidence: EvidenceModel
+    evidence: EvidenceModel | None
     weights: tuple[float, ...]
 
-    def scorer(self):
-        """A function from a list of texts to a score each, with a bounded cache of words."""
-        known: dict[str, float] = {}
-
-        def scores(texts):
-            words = [words_in(text) for text in texts]
-            return [(self.probability(x),) for x in _features(self.evidence, words, known)]
-
-        return scores
-
     def probability(self, features: Sequence[float]) -> float:
         value = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], features))
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, value))))
 
 
-def _features(model: EvidenceModel, texts: list[list[str]], known: dict[str, float]):
-    new = [word for word in set().union(*texts) if word not in known]
-    found = dict(zip(new, model.evidence(new).tolist()))
-    if len(known) < _CACHED_WORDS:
-        known.update(found)
-    else:
-        known = ChainMap(known, found)
-    for words in texts:
-        evidence = np.fromiter(map(known.__getitem__, words), float, len(words))
-        yield features_of(evidence, np.fromiter(map(len, words), np.int64, len(words)))
+def _packed_bag(ids: list[int]) -> bytes:
+    """Sorted numbers by their differences, one byte plane after another, compressed."""
+    steps = np.diff(np.array(ids, np.int64), prepend=0).astype("<u4")
+    return zlib.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _bag(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int64)
+
+
+def _packed_words(words: Sequence[str]) -> bytes:
+    return zlib.compress("\n".join(words).encode(), 1)
+
+
+def _words(packed: bytes) -> list[str]:
+    text = zlib.decompress(packed).decode()
+    return text.split("\n") if text else []
+
+
+# Rows of a block, in the order in which they are needed.
+_RATIOS, _DICTIONARY, _TEXT = 0, 1, 2
+
+
+def _blocks(docs: DataFrame, text: str, kept: Sequence[str]) -> DataFrame:
+    """Texts as numbers of their words in blocks, and for each block a row with these words.
+
+    A block ends with the task, or with the text that brings its distinct words above
+    BLOCK_WORDS. Columns: block, kind, packed, and the kept ones as k0, k1, ...
+    """
+    kinds, largest = dict(docs.dtypes), BLOCK_WORDS
+
+    def start():
+        task, done, numbers = TaskContext.get().partitionId(), 0, {}
+
+        def block():
+            return (task << 32) + done
+
+        def flushed():
+            nonlocal done
+            row = (block(), _DICTIONARY, _packed_words(list(numbers)), *[None] * len(kept))
+            numbers.clear()
+            done += 1
+            return [row]
+
+        def rows(texts, *columns):
+            out = []
+            for body, *values in zip(texts, *columns):
+                bag = sorted(numbers.setdefault(word, len(numbers)) for word in words_in(body))
+                out.append((block(), _TEXT, _packed_bag(bag), *values))
+                if len(numbers) > largest:
+                    out += flushed()
+            return out
+
+        rows.rest = flushed
+        return rows
+
+    columns = [docs[f"`{name}`"].alias(f"r{i}") for i, name in enumerate([text, *kept])]
+    names = ["block bigint", "kind int", "packed binary"]
+    names += [f"k{i} {kinds[name]}" for i, name in enumerate(kept)]
+    return map_batches(docs.select(*columns), start, ", ".join(names))
+
+
+def _with_features(
+    docs: DataFrame,
+    model: EvidenceModel,
+    text: str,
+    keep: Sequence[str],
+    finish: Callable[[tuple[float, ...]], tuple],
+    name: str,
+    kind: str,
+) -> DataFrame:
+    """The columns in ``keep`` and what ``finish`` makes of a text's features, per input row.
+
+    The distinct expressions of each block are joined with the model's tables. What is found
+    meets the block's texts, which are kept and shuffled as word numbers only.
+    """
+    kept = list(keep)
+    blocks = written(_blocks(docs, text, kept), "toxicity-blocks")
+
+    def expressions():
+        def rows(block, packed):
+            return [(b, *distinct_grams(_words(p))) for b, p in zip(block, packed)]
+
+        return rows
+
+    dictionaries = blocks.where(F.col("kind") == _DICTIONARY).select("block", "packed")
+    wanted = map_batches(
+        dictionaries, expressions, "block bigint, grams array<bigint>, contexts array<bigint>"
+    ).select("block", F.inline(F.arrays_zip("grams", "contexts")).alias("gram", "context"))
+    found = model.ratios_of(wanted).groupBy("block")
+    found = found.agg(F.collect_list(F.struct("gram", "ratio")).alias("found"))
+    found = found.select(
+        "block",
+        F.lit(_RATIOS).alias("kind"),
+        F.col("found.gram").alias("grams"),
+        F.col("found.ratio").alias("ratios"),
+    )
+    together = found.unionByName(blocks, allowMissingColumns=True)
+    columns = ["block", "kind", "packed", "grams", "ratios", *[f"k{i}" for i in range(len(kept))]]
+    together = together.select(*columns).repartition("block").sortWithinPartitions("block", "kind")
+
+    def start():
+        at, known, evidence, lengths = None, ([], []), np.zeros(0), np.zeros(0, np.int64)
+
+        def rows(block, kind, packed, grams, ratios, *columns):
+            nonlocal at, known, evidence, lengths
+            out = []
+            for b, k, p, g, r, *values in zip(block, kind, packed, grams, ratios, *columns):
+                if b != at:
+                    at, known = b, ([], [])
+                if k == _RATIOS:
+                    known = g, r
+                elif k == _DICTIONARY:
+                    words = _words(p)
+                    evidence = evidence_of(words, *known)
+                    lengths = np.fromiter(map(len, words), np.int64, len(words))
+                else:
+                    bag = _bag(p)
+                    out.append((*values, *finish(features_of(evidence[bag], lengths[bag]))))
+            return out
+
+        return rows
+
+    kinds = dict(docs.dtypes)
+    names = [f"k{i} {kinds[column]}" for i, column in enumerate(kept)]
+    mapped = map_batches(together, start, ", ".join([*names, f"n0 {kind}"]))
+    return mapped.toDF(*kept, name)
 
 
 def fit_logistic(rows: np.ndarray, labels: np.ndarray, steps: int = 60) -> tuple[float, ...]:
@@ -329,21 +447,12 @@ def train(
     few = folded.where(fold == CALIBRATION).orderBy(F.xxhash64("doc_id"), "doc_id")
     few = docs.sparkSession.createDataFrame(few.limit(calibration_rows).collect(), folded.schema)
     calibrating = texts.where(fold == CALIBRATION).join(F.broadcast(few), "doc_id")
-    shared = model.shared(docs.sparkSession)
-
-    def start():
-        evidence, known = EvidenceModel(*shared.value), {}
-
-        def rows(texts, toxic):
-            found = _features(evidence, [words_in(text) for text in texts], known)
-            return [(list(features), label) for features, label in zip(found, toxic)]
-
-        return rows
-
-    sample = map_batches(calibrating.select("text", "toxic"), start, "x array<double>, y int")
+    sample = _with_features(
+        calibrating, model, "text", ["toxic"], lambda x: (list(x),), "x", "array<double>"
+    )
     sample = sample.limit(2 * calibration_rows).collect()
     rows = np.array([row.x for row in sample], float).reshape(-1, N_FEATURES)
-    weights = fit_logistic(rows, np.array([row.y > 0 for row in sample], float))
+    weights = fit_logistic(rows, np.array([row.toxic > 0 for row in sample], float))
     return ToxicityModel(model, weights)
 
 
@@ -357,13 +466,10 @@ def score(
     """The columns in ``keep`` and the score ``name`` (0 to 1, higher: likelier toxic), per input row.
 
     A null or empty text has no words and gets the score of no evidence. Repeated rows get
-    equal scores; other columns are not read. The model has a fixed largest size and is
-    broadcast; no shuffle.
+    equal scores; other columns are not read. The model is joined with the distinct
+    expressions of the texts, whatever its size; texts are shuffled as word numbers.
     """
-    kinds, kept = dict(docs.dtypes), list(keep)
-    shared, weights = model.evidence.shared(docs.sparkSession), model.weights
-
-    def start():
-        return ToxicityModel(EvidenceModel(*shared.value), weights).scorer()
-
-    return map_text(docs, start, text, keep, [(name, "double")])
+    weigher = ToxicityModel(None, model.weights)
+    return _with_features(
+        docs, model.evidence, text, keep, lambda x: (weigher.probability(x),), name, "double"
+    )

@@ -126,3 +126,35 @@ def test_grams_of_words_do_not_depend_on_their_neighbours():
     alone = [T.grams_of([w]) for w in ("ab", "", "abc")]
     assert np.array_equal(together[1], np.concatenate([a[1] for a in alone], axis=1))
     assert np.array_equal(together[2], np.concatenate([a[2] for a in alone], axis=1))
+
+
+def test_no_expression_is_lost_to_another(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(3000)]
+    at, seen, pair = T.grams_of(words), {}, None
+    for owner, gram in zip(at[0], at[1][-1]):
+        other = seen.setdefault(int(gram) % 2**20, (owner, gram))
+        if other[1] != gram and other[0] != owner:
+            pair = words[other[0]], words[owner]
+    rows = [(pair[0], 0), (f"{pair[0]} {pair[1]}", 0), (pair[1], 1), (f"{pair[1]} on", 1)]
+    model = T.train_evidence(spark.createDataFrame(rows, "text string, toxic int"))
+    ratios = brute_ratios(rows)
+    for word in pair:
+        padded = chr(1) * (T.ORDER - 1) + word + chr(2)
+        expected = sum(ratios[padded[i : i + T.ORDER]] for i in range(len(word) + 1))
+        assert model.evidence([word])[0] == pytest.approx(expected, abs=1e-4)
+
+
+def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
+    texts, labels = made_up(200, 6)
+    docs = docs_table(spark, texts)
+    model = T.train(docs, labels_table(spark, labels))
+    whole = dict(T.score(docs, model).collect())
+    monkeypatch.setattr(T, "BLOCK_WORDS", 20)
+    assert dict(T.score(docs, model).collect()) == pytest.approx(whole)
+    by_hand = {}
+    for i, text in enumerate(texts[:3]):
+        words = T.words_in(text)
+        lengths = np.array([len(w) for w in words])
+        by_hand[i] = model.probability(T.features_of(model.evidence.evidence(words), lengths))
+    assert {i: whole[i] for i in by_hand} == pytest.approx(by_hand)
