@@ -81,27 +81,34 @@ def grams_of(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def count_words(labelled: DataFrame) -> DataFrame:
-    """Words of the rows (text, toxic) with their number in toxic and in ordinary texts."""
+    """Words of the rows (text, toxic, reserved) with their number in toxic and in ordinary texts.
+
+    Words of reserved rows and of the others are counted apart.
+    """
 
     def start():
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        counts = {(label, kept): Counter() for label in (False, True) for kept in (False, True)}
 
         def flushed():
-            rows = [(word, counts[1][word], counts[0][word]) for word in {**counts[0], **counts[1]}]
-            for counter in counts:
+            rows = [
+                (word, kept, counts[True, kept][word], counts[False, kept][word])
+                for kept in (False, True)
+                for word in {**counts[False, kept], **counts[True, kept]}
+            ]
+            for counter in counts.values():
                 counter.clear()
             return rows
 
-        def rows(texts, toxic):
-            for text, label in zip(texts, toxic):
-                counts[bool(label)].update(words_in(text))
-            return flushed() if sum(map(len, counts)) > _COUNTED_WORDS else []
+        def rows(texts, toxic, reserved):
+            for text, label, kept in zip(texts, toxic, reserved):
+                counts[bool(label), kept].update(words_in(text))
+            return flushed() if sum(map(len, counts.values())) > _COUNTED_WORDS else []
 
         rows.rest = flushed
         return rows
 
-    words = map_batches(labelled, start, "word string, toxic bigint, ordinary bigint")
-    return words.groupBy("word").agg(
+    schema = "word string, reserved boolean, toxic bigint, ordinary bigint"
+    return map_batches(labelled, start, schema).groupBy("word", "reserved").agg(
         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
     )
 
@@ -125,7 +132,7 @@ def count_grams(words: DataFrame) -> DataFrame:
 
     schema = ", ".join([f"{name} bigint" for name in (*hashes, "toxic", "ordinary")])
     return (
-        map_batches(words, start, schema)
+        map_batches(words.select("word", "toxic", "ordinary"), start, schema)
         .groupBy(f"g{ORDER}")
         .agg(
             *[F.first(name).alias(name) for name in hashes if name != f"g{ORDER}"],
@@ -219,7 +226,7 @@ def evidence_of(words: Sequence[str], grams: Sequence[int], ratios: Sequence[flo
 
 def train_evidence(labelled: DataFrame) -> EvidenceModel:
     """The two models from all rows (text, toxic), as ratios."""
-    return evidence_from(count_words(labelled))
+    return evidence_from(count_words(labelled.select("text", "toxic", F.lit(False).alias("reserved"))))
 
 
 def evidence_from(words: DataFrame) -> EvidenceModel:
@@ -428,32 +435,45 @@ def train(
 ) -> ToxicityModel:
     """Models from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
-    Rows of the held-out fold are never used. All labelled texts of two folds are counted;
-    the last step is fitted on at most ``calibration_rows`` rows of the other one. Labels of
-    null, and of documents that are not there, are left out; of several labels for a
-    document the highest counts.
+    Rows of the held-out fold are never used; the final models count all other labelled texts.
+    The last step is fitted on at most ``calibration_rows`` rows of one fold, with models
+    that count all but these rows. Labels of null, and of documents that are not there, are
+    left out; of several labels for a document the highest counts.
     """
     folded = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id")
     folded = folded.agg(F.max("toxic").alias("toxic"))
     fold = fold_of(F.col("doc_id"))
     texts = docs.select("doc_id", "text")
-    # Joined in the same way at every size: texts are shuffled once and not kept.
-    counted = texts.where(~fold.isin(HELD_OUT, CALIBRATION)).join(
-        folded.where(~fold.isin(HELD_OUT, CALIBRATION)).hint("merge"), "doc_id"
-    )
-    model = train_evidence(counted.select("text", "toxic"))
 
     # At most ``calibration_rows`` labels, so the texts need not move for them.
     few = folded.where(fold == CALIBRATION).orderBy(F.xxhash64("doc_id"), "doc_id")
     few = docs.sparkSession.createDataFrame(few.limit(calibration_rows).collect(), folded.schema)
+    reserved = few.select("doc_id", F.lit(True).alias("reserved"))
+    # Joined in the same way at every size: texts are shuffled once and not kept.
+    counted = texts.where(fold != HELD_OUT).join(
+        folded.where(fold != HELD_OUT).hint("merge"), "doc_id"
+    )
+    counted = counted.join(F.broadcast(reserved), "doc_id", "left")
+    words = written(
+        count_words(
+            counted.select("text", "toxic", F.coalesce("reserved", F.lit(False)).alias("reserved"))
+        ),
+        "toxicity-words",
+    )
     calibrating = texts.where(fold == CALIBRATION).join(F.broadcast(few), "doc_id")
     sample = _with_features(
-        calibrating, model, "text", ["toxic"], lambda x: (list(x),), "x", "array<double>"
+        calibrating,
+        evidence_from(words.where(~F.col("reserved"))),
+        "text",
+        ["toxic"],
+        lambda x: (list(x),),
+        "x",
+        "array<double>",
     )
     sample = sample.limit(2 * calibration_rows).collect()
     rows = np.array([row.x for row in sample], float).reshape(-1, N_FEATURES)
     weights = fit_logistic(rows, np.array([row.toxic > 0 for row in sample], float))
-    return ToxicityModel(model, weights)
+    return ToxicityModel(evidence_from(words), weights)
 
 
 def score(

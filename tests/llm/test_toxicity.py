@@ -158,3 +158,14 @@ def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
         lengths = np.array([len(w) for w in words])
         by_hand[i] = model.probability(T.features_of(model.evidence.evidence(words), lengths))
     assert {i: whole[i] for i in by_hand} == pytest.approx(by_hand)
+
+
+@pytest.mark.parametrize("calibration_rows", [20, T.CALIBRATION_ROWS])
+def test_labels_of_the_calibration_fold_are_counted(spark, calibration_rows):
+    texts, labels = made_up(400, 7)
+    ids = spark.range(400).where(T.fold_of(F.col("id")) == T.CALIBRATION)
+    for row in ids.collect():
+        texts[row.id] += " qwyjibo" * labels[row.id]
+    model = T.train(docs_table(spark, texts), labels_table(spark, labels), calibration_rows)
+    only_there, nowhere = model.evidence.evidence(["qwyjibo", "qxyjibo"])
+    assert only_there > 3 and only_there > nowhere + 3
