@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -34,6 +36,26 @@ MARKS = (
     "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 )
 
+# Elements whose start ends open ones without an end tag, and blocks that end a paragraph.
+IMPLIED = {
+    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
+    "tr": ("tr", "td", "th"), "option": ("option",),
+}
+ENDS_PARAGRAPH = (
+    "address", "article", "aside", "blockquote", "dd", "details", "div", "dl", "dt", "fieldset",
+    "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main",
+    "menu", "nav", "ol", "p", "pre", "section", "table", "ul",
+)
+
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+
+# Characters outside links in a window of lines that make a body, or this share of the most.
+FULL_CHARS = 80
+FULL_SHARE = 0.25
+
+# Share of a body's least characters that its first and last line have themselves.
+EDGE_SHARE = 0.25
+
 _RAW = "|".join(RAW)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?"
@@ -56,24 +78,102 @@ def is_marked(attributes: str) -> bool:
     )
 
 
-def page_lines(page: str) -> list[tuple[str, bool, bool]]:
-    """The page as lines, one for each block: text, whether in a main element, whether kept out.
+@dataclass(frozen=True)
+class Line:
+    """Text of a block, its characters outside links, and what it lies in.
+
+    Headings right above a body belong to it. ``marked`` counts the open elements whose class, id or role marks them.
+    """
+
+    text: str
+    free: int
+    main: bool
+    out: bool
+    marked: int
+    heading: bool
+
+
+class _Open:
+    """The open elements of a page, with how many there are of each name and of each part."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str]] = []
+        self.names: Counter = Counter()
+        self.parts: Counter = Counter()
+
+    def push(self, name: str, part: str) -> None:
+        self.stack.append((name, part))
+        self.names[name] += 1
+        self.parts[part] += 1
+
+    def cut(self, size: int) -> None:
+        while len(self.stack) > size:
+            name, part = self.stack.pop()
+            self.names[name] -= 1
+            self.parts[part] -= 1
+
+    def end(self, name: str) -> None:
+        """The nearest element of this name ends, with all that are open in it."""
+        if self.names[name]:
+            at = len(self.stack) - 1
+            while self.stack[at][0] != name:
+                at -= 1
+            self.cut(at)
+
+    def ends_part(self, name: str) -> bool:
+        """Whether the end of ``name`` ends an element that keeps text out."""
+        if not self.names[name] or not (self.parts["out"] or self.parts["marked"]):
+            return False
+        for other, part in reversed(self.stack):
+            if part in ("out", "marked"):
+                return True
+            if other == name:
+                return False
+        return False
+
+    def imply(self, name: str) -> None:
+        """The start of ``name`` ends what HTML lets end without a tag."""
+        ended = (*IMPLIED.get(name, ()), *(("p",) if name in ENDS_PARAGRAPH else ()))
+        if not any(self.names[other] for other in ended):
+            return
+        at, found = len(self.stack), None
+        while at and (self.stack[at - 1][0] in (*ended, "p") or self.stack[at - 1][0] in INLINE):
+            at -= 1
+            if self.stack[at][0] in ended:
+                found = at
+        if found is not None:
+            self.cut(found)
+
+    def readmit(self) -> None:
+        """Elements that keep text out were never closed: they no longer do."""
+        self.stack = [(n, p if p in ("", "main") else "") for n, p in self.stack]
+        self.parts["out"] = self.parts["marked"] = 0
+
+
+def page_lines(page: str) -> list[Line]:
+    """The page as lines, one for each block.
 
     Every tag that is not inline ends a line. Character references are decoded after the
     markup is gone, so an escaped tag stays text. Raw elements leave nothing.
     """
-    lines: list[tuple[str, bool, bool]] = []
-    parts: list[str] = []
-    main, out_name, out_depth, at = 0, "", 0, 0
+    lines: list[Line] = []
+    parts: list[tuple[str, bool]] = []
+    opened, at = _Open(), 0
 
     def end_line() -> None:
-        text = _SPACE.sub(" ", references.unescape("".join(parts))).strip()
-        parts.clear()
+        text = _SPACE.sub(" ", references.unescape("".join(t for t, _ in parts))).strip()
         if text:
-            lines.append((text, main > 0, bool(out_name)))
+            free = "".join(t for t, linked in parts if not linked)
+            free = len(_SPACE.sub(" ", references.unescape(free)).strip())
+            kinds = opened.parts
+            heading = any(opened.names[name] for name in HEADINGS)
+            lines.append(
+                Line(text, free, kinds["main"] > 0, kinds["out"] > 0, kinds["marked"], heading)
+            )
+        parts.clear()
 
     for token in _TOKEN.finditer(page):
-        parts.append(page[at : token.start()])
+        parts.append((page[at : token.start()], opened.names["a"] > 0))
         at = token.end()
         if token["name"] is None:
             continue
@@ -82,22 +182,25 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
             end_line()
         if name in VOID:
             continue
-        if out_name:
-            if name in MAIN and not closing and not main:
-                out_name, main = "", main + 1  # an element that was never closed
-            elif name == out_name:
-                out_depth += -1 if closing else 1
-                if not out_depth:
-                    end_line()
-                    out_name = ""
-        elif closing:
-            main -= name in MAIN and main > 0
-        elif name in MAIN:
-            main += 1
-        elif name not in ("html", "body") and (name in BOILERPLATE or is_marked(token["rest"])):
+        if closing:
+            if opened.ends_part(name):
+                end_line()
+            opened.end(name)
+            continue
+        opened.imply(name)
+        part = ""
+        if name in MAIN:
+            if not opened.parts["main"]:
+                opened.readmit()
+            part = "main"
+        elif name in BOILERPLATE:
+            part = "out"
+        elif name not in ("html", "body") and is_marked(token["rest"]):
+            part = "marked"
+        if part:
             end_line()
-            out_name, out_depth = name, 1
-    parts.append(page[at:])
+        opened.push(name, part)
+    parts.append((page[at:], opened.names["a"] > 0))
     end_line()
     return lines
 
@@ -128,10 +231,11 @@ def main_text(page: str | None, window: int = WINDOW) -> str:
     where the page has text inside one. What lies between surge and dive is kept whole.
     """
     lines = page_lines(page or "")
-    inside = any(main and not out for _, main, out in lines)
-    wanted = [not out and (main or not inside) for _, main, out in lines]
-    surge, dive = body_span([len(t) * w for (t, _, _), w in zip(lines, wanted)], window)
-    return "\n".join(lines[i][0] for i in range(surge, dive) if wanted[i])
+    kept = [not line.out and not line.marked for line in lines]
+    inside = any(line.main and keep for line, keep in zip(lines, kept))
+    wanted = [keep and (line.main or not inside) for line, keep in zip(lines, kept)]
+    surge, dive = body_span([len(line.text) * w for line, w in zip(lines, wanted)], window)
+    return "\n".join(lines[i].text for i in range(surge, dive) if wanted[i])
 
 
 def extract_text(

@@ -50,3 +50,17 @@ def test_a_page_with_many_open_tags_takes_linear_time():
     page = "<div class=a><p>" * 30_000 + "x"
     assert main_text(page) == "x"
     assert main_text("<" * 50_000) == "<" * 50_000
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article><p class="notice">N<p>Real one<p>Real two</article>', "Real one\nReal two"),
+        ("<article><ul><li class=share>S<li>Real</ul></article>", "Real"),
+        ("<main><div><p class=notice>N</div><p>Real</p></main>", "Real"),
+        ("<main><div><nav>N<p>n</div><p>Real</p></main>", "Real"),
+        ("<table><tr><td class=ad>A<td>B<tr><td>C</table>", "B\nC"),
+    ],
+)
+def test_a_skipped_element_ends_with_its_parent(page, text):
+    assert main_text(page) == text
