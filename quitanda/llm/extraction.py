@@ -205,21 +205,28 @@ def page_lines(page: str) -> list[Line]:
     return lines
 
 
-def body_span(lengths: Sequence[int], window: int = WINDOW) -> tuple[int, int]:
+def _windows(lengths: Sequence[int], window: int) -> list[int]:
+    return [sum(lengths[i : i + window]) for i in range(len(lengths))]
+
+
+def body_span(
+    lengths: Sequence[int], window: int = WINDOW, least: float = 1
+) -> tuple[int, int]:
     """First and last line (exclusive) between the surge and the dive of the text lengths.
 
     A block's length is the sum over ``window`` lines from its first one on. The surge is the
-    first block with text that the next block keeps up; the dive is where blocks run dry for
-    good. Ends without text of their own are left off.
+    first block of at least ``least`` characters, the dive the end of the last one. Lines at
+    the ends with less than ``EDGE_SHARE`` of that are left off.
     """
-    blocks = [sum(lengths[i : i + window]) for i in range(len(lengths))]
-    full = [i for i, size in enumerate(blocks) if size]
+    blocks = _windows(lengths, window)
+    full = [i for i, size in enumerate(blocks) if size >= least and size]
     if not full:
         return 0, 0
-    surge, dive = full[0], full[-1] + 1
-    while not lengths[surge]:
+    surge, dive = full[0], min(full[-1] + window, len(lengths))
+    edge = least * EDGE_SHARE
+    while lengths[surge] < edge or not lengths[surge]:
         surge += 1
-    while not lengths[dive - 1]:
+    while lengths[dive - 1] < edge or not lengths[dive - 1]:
         dive -= 1
     return surge, dive
 
@@ -227,15 +234,29 @@ def body_span(lengths: Sequence[int], window: int = WINDOW) -> tuple[int, int]:
 def main_text(page: str | None, window: int = WINDOW) -> str:
     """Blocks of the page's main text, one to a line; empty if it has none.
 
-    Lines of boilerplate count as empty, and so do lines outside ``article`` or ``main``
-    where the page has text inside one. What lies between surge and dive is kept whole.
+    Text inside ``article`` or ``main`` is the main text where there is any. On other pages
+    it lies between surge and dive of the characters outside links, or of all characters if
+    every one is in a link. Boilerplate elements count as empty, and so do marked ones, unless
+    no body is left without them: then the outermost marks are taken for wrong.
     """
-    lines = page_lines(page or "")
-    kept = [not line.out and not line.marked for line in lines]
-    inside = any(line.main and keep for line, keep in zip(lines, kept))
-    wanted = [keep and (line.main or not inside) for line, keep in zip(lines, kept)]
-    surge, dive = body_span([len(line.text) * w for line, w in zip(lines, wanted)], window)
-    return "\n".join(lines[i].text for i in range(surge, dive) if wanted[i])
+    lines = [line for line in page_lines(page or "") if not line.out]
+    inside = [line for line in lines if line.main and not line.marked]
+    if inside:
+        return "\n".join(line.text for line in inside)
+    if any(line.main for line in lines):
+        lines = [line for line in lines if line.main]
+    linked = not any(line.free for line in lines)
+    sizes = [len(line.text) if linked else line.free for line in lines]
+    least = min(FULL_CHARS, FULL_SHARE * max(_windows(sizes, window), default=0))
+    for depth in sorted({line.marked for line in lines}):
+        wanted = [line.marked <= depth for line in lines]
+        found = [size * keep for size, keep in zip(sizes, wanted)]
+        surge, dive = body_span(found, window, least)
+        if surge < dive and (depth or least <= max(_windows(found, window))):
+            while surge and lines[surge - 1].heading:
+                surge -= 1
+            return "\n".join(lines[i].text for i in range(surge, dive) if wanted[i])
+    return ""
 
 
 def extract_text(

@@ -64,3 +64,14 @@ def test_a_page_with_many_open_tags_takes_linear_time():
 )
 def test_a_skipped_element_ends_with_its_parent(page, text):
     assert main_text(page) == text
+
+
+def test_surge_and_dive_decide_on_plain_pages():
+    links = "<div><ul>" + "".join(f"<li><a href=/{i}>Section {i}</a>" for i in range(30)) + "</ul></div>"
+    words = "<div>Home</div><div>About</div><div>Contact</div><div>Shop</div>"
+    body = [f"Paragraph {i} of the text, " + "with many more words " * 6 + "end." for i in range(4)]
+    article = "<div>" + "".join(f"<p>{p}</p>" for p in body) + "</div>"
+    foot = "<div>Imprint</div><div>Privacy</div><div>2024</div>"
+    assert main_text(links + words + article + links + foot) == "\n".join(body)
+    wrong = f"<div class='content has-sidebar'>{article}<div class=sidebar>{body[0]}</div></div>"
+    assert main_text(links + words + wrong + foot) == "\n".join(body)
