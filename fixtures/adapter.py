@@ -5,6 +5,7 @@ The expressions are those of FIXTURES.md; the oracle states them again in its ow
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,11 +100,30 @@ def write_feed(raw: DataFrame, path: str) -> None:
     _json_records(raw).select("value").write.text(path)
 
 
+# Records of a list document at most, about: more of them make more documents.
+RECORDS_PER_LIST = 500_000
+
+
 def write_lists(raw: DataFrame, path: str, files: int = 4) -> None:
-    """Write raw records as JSON documents, each a list over many lines."""
-    part = F.pmod(F.xxhash64("l_orderkey"), F.lit(files))
-    records = F.array_join(F.collect_list("value"), ",\n")
-    documents = _json_records(raw).groupBy(part.alias("part")).agg(
-        F.concat(F.lit("[\n"), records, F.lit("\n]")).alias("value")
-    )
-    documents.repartitionByRange(files, "part").select("value").write.text(path)
+    """Write raw records as JSON documents, each a list over many lines: ``files`` or more.
+
+    A task writes one document, record by record, so none is held as a whole.
+    """
+    files = max(files, -(-raw.count() // RECORDS_PER_LIST))
+
+    def documents(batches):
+        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        last = None
+        for batch in batches:
+            records = batch.column(0).to_pylist()
+            if not records:
+                continue
+            lines = [f"{record}," for record in ([] if last is None else [last]) + records[:-1]]
+            last = records[-1]
+            if lines:
+                yield pa.RecordBatch.from_pydict({"value": lines})
+        yield pa.RecordBatch.from_pydict({"value": ["]"] if last is None else [last, "]"]})
+
+    dealt = _json_records(raw).withColumn("row", F.xxhash64("value"))
+    dealt = dealt.repartition(files, "l_orderkey", "row").select("value")
+    dealt.mapInArrow(documents, "value string").write.text(path)
