@@ -23,13 +23,13 @@ WITH d AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    CAST(len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
+    CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
       - len(list_distinct(list_filter(string_split(text, chr(10)),
-          x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+          lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
     length(regexp_replace(text, '[^!]', '', 'g')) AS n_exclamations,
     len(list_filter(w, x -> NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_no_letter,
-    len(list_filter(w, x -> regexp_matches(x, '[A-Z][A-Z]'))) AS n_shouted
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Z][A-Z]'))) AS n_shouted
   FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id
 ), judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM features
