@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quitanda.llm.mixing import MAX_RATE, SEED, WEIGHTS
 from quitanda.llm.urls import LIMIT, RULES, SOFT, STRICT
 
 QUALITY = r"""
@@ -84,5 +85,51 @@ FROM ruled
 """
 
 
+def _mixing() -> str:
+    weights = ", ".join(map(str, WEIGHTS))
+    return rf"""
+WITH sized AS (
+  SELECT doc_id, source, text,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place
+  FROM sized GROUP BY source
+), weighted AS (
+  SELECT *, CAST(([{weights}])[CAST(place % {len(WEIGHTS)} AS INT) + 1] AS HUGEINT) AS weight,
+    CAST({MAX_RATE} * source_size AS HUGEINT) AS cap
+  FROM sources
+), total AS (
+  SELECT sum(CAST(source_size AS HUGEINT)) AS words FROM weighted
+), cut AS (
+  SELECT a.source, sum(least(b.cap * a.weight, a.cap * b.weight)) <= any_value(words) * a.weight AS above
+  FROM weighted a, weighted b, total GROUP BY a.source, a.weight, a.cap
+), rest AS (
+  SELECT CAST(any_value(words) - coalesce(sum(cap) FILTER (above), 0) AS DOUBLE) AS budget,
+    CAST(sum(weight) FILTER (NOT above) AS DOUBLE) AS weights
+  FROM weighted w JOIN cut c ON w.source IS NOT DISTINCT FROM c.source, total
+), targets AS (
+  SELECT w.source, source_size,
+    CASE WHEN above THEN CAST(cap AS DOUBLE) ELSE budget * CAST(weight AS DOUBLE) / weights END AS target
+  FROM weighted w JOIN cut c ON w.source IS NOT DISTINCT FROM c.source, rest
+), rated AS (
+  SELECT doc_id, size, source_size, target,
+    CASE WHEN source_size > 0 THEN target / CAST(source_size AS DOUBLE) ELSE 0.0::DOUBLE END AS rate,
+    CAST(CAST('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(doc_id AS VARCHAR), text)), 1, 8)
+      AS UBIGINT) AS DOUBLE) / 4294967296.0::DOUBLE AS chance
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (CAST(floor(rate) AS BIGINT) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END)
+    AS BIGINT) AS taken
+FROM rated
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": QUALITY, "op5_url_filter": _url_filter()}
+    return {
+        "op1_quality_rules": QUALITY,
+        "op5_url_filter": _url_filter(),
+        "op13_mixing": _mixing(),
+    }

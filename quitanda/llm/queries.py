@@ -13,6 +13,7 @@ from quitanda.llm.extraction import extract_text
 from quitanda.llm.fingerprints import fingerprints
 from quitanda.llm.jaccard import jaccard_components
 from quitanda.llm.licenses import scan_licenses
+from quitanda.llm.mixing import mixing_plan
 from quitanda.llm.packing import pack
 from quitanda.llm.pieces import encode_and_decode
 from quitanda.llm.quality import BASE, judge_quality
@@ -105,6 +106,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing_plan(read_table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return plan.select("doc_id", "size", "source_size", "target", taken)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -123,5 +130,6 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_fingerprints": op9_fingerprints,
         "op10_html_text": op10_html_text,
+        "op13_mixing": op13_mixing,
         "pipeline": pipeline,
     }
