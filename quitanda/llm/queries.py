@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm.common import read_table
+from quitanda.llm.common import WORD, read_table
 from quitanda.llm.extraction import extract_text
 from quitanda.llm.fingerprints import fingerprints
 from quitanda.llm.jaccard import jaccard_components
 from quitanda.llm.licenses import scan_licenses
 from quitanda.llm.mixing import mixing_plan
 from quitanda.llm.packing import pack
+from quitanda.llm.periods import periodic_runs
 from quitanda.llm.pieces import encode_and_decode
 from quitanda.llm.quality import BASE, judge_quality
 from quitanda.llm.sharding import document_shards
@@ -106,6 +107,47 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by a hash of doc_id, repeats some of its words to its end.
+
+    A document without a doc_id or words stays as it is.
+    """
+    words = docs.select(
+        "doc_id",
+        "text",
+        F.regexp_extract_all("text", F.lit(WORD), 0).alias("w"),
+        F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"),
+    )
+    n = F.size("w").cast("bigint")
+    n = words.select("doc_id", "text", "w", "h", F.expr("h div 10").alias("g"), n.alias("n"))
+    placed = n.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    placed = placed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    period = F.slice("w", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    tail = F.flatten(F.array_repeat(period, F.expr("cast((n - a + p - 1) div p as int)")))
+    repeated = F.concat(
+        F.slice("w", F.lit(1), F.col("a").cast("int")),
+        F.slice(tail, F.lit(1), F.expr("cast(n - a as int)")),
+    )
+    planted = F.when(
+        (F.col("h") % 10 == 0) & F.col("a").isNotNull(), F.array_join(repeated, " ")
+    ).otherwise(F.col("text"))
+    return placed.select("doc_id", planted.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(planted_repeats(read_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    best = F.col("most_repeated")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[best[name].alias(name) for name in ("start", "length", "period")],
+        F.expr("1000 * most_repeated.length div most_repeated.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing_plan(read_table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -130,6 +172,7 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_fingerprints": op9_fingerprints,
         "op10_html_text": op10_html_text,
+        "op12_periodic_runs": op12_periodic_runs,
         "op13_mixing": op13_mixing,
         "pipeline": pipeline,
     }
