@@ -21,6 +21,7 @@ from quitanda.llm.quality import BASE, judge_quality
 from quitanda.llm.sharding import document_shards
 from quitanda.llm.toxicity import HELD_OUT, THRESHOLD, fold_of, score, train
 from quitanda.llm.urls import judge_urls
+from quitanda.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def planted_repeats(docs: DataFrame) -> DataFrame:
     """Documents of which a tenth, by a hash of doc_id, repeats some of its words to its end.
 
@@ -172,6 +177,7 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_fingerprints": op9_fingerprints,
         "op10_html_text": op10_html_text,
+        "op11_whitening": op11_whitening,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_mixing": op13_mixing,
         "pipeline": pipeline,

@@ -1,0 +1,156 @@
+from __future__ import annotations
+
+import math
+from collections import defaultdict
+from fractions import Fraction
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+from quitanda.llm import queries, whitening
+from quitanda.llm.whitening import inertia, leading_components, product_sums, whiten
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "vec_id bigint, embedding array<float>, component string, n string, kept string"
+
+
+def table(spark, vectors, kind="float"):
+    rows = [(i, v, "x", "y", f"z{i}") for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, SCHEMA.replace("float", kind))
+
+
+def exact_covariance(x):
+    """Whole-number vectors' sums and covariance by fractions."""
+    n, d = len(x), len(x[0])
+    sums = [sum(row[j] for row in x) for j in range(d)]
+    moved = [[n * row[j] - sums[j] for j in range(d)] for row in x]
+    v = [
+        [float(Fraction(sum(m[i] * m[j] for m in moved), n**3)) for j in range(d)] for i in range(d)
+    ]
+    return sums, moved, np.array(v)
+
+
+def check(rows, used, components=32):
+    """Rows of the operator against a plain solver; ``used`` has the vectors that must remain."""
+    x = {i: [math.floor(float(c) * 64) + 1_000_000 for c in v] for i, v in used.items()}
+    _, moved, v = exact_covariance(list(x.values()))
+    values, vectors = np.linalg.eigh(v)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    k = min(components, int((values > 1e-12 * values.sum()).sum()))
+    assert sorted((r.vec_id, r.component) for r in rows) == [(i, c) for i in sorted(x) for c in range(1, k + 1)]
+    own = dict(zip(x, moved))
+    table_ = defaultdict(dict)
+    for r in rows:
+        assert r.n == len(x)
+        assert r.deviation == sum(m * m for m in own[r.vec_id])
+        assert r.explained == pytest.approx(values[r.component - 1] / np.trace(v), rel=1e-9)
+        table_[r.vec_id][r.component] = r.whitened
+    got = np.array([[table_[i][c] for c in range(1, k + 1)] for i in x])
+    error = np.abs(got.T @ got / len(x) - np.eye(k)).max()
+    assert error < 1e-9
+    assert all(abs(r.identity_error - error) < 1e-12 for r in rows)
+    # Eigenvectors by what they give: m / n projected, over the root, whatever the sign.
+    plain = np.array(list(own.values()), float) / len(x) @ vectors[:, :k] / np.sqrt(values[:k])
+    gaps = np.diff(values[: k + 1]) if k < len(values) else np.r_[np.diff(values[:k]), -values[k - 1]]
+    alone = (np.minimum(np.abs(gaps), np.r_[np.inf, np.abs(gaps)[:-1]]) > 1e-6 * values[0])
+    for c in np.flatnonzero(alone):
+        sign = np.sign(plain[:, c] @ got[:, c])
+        assert np.allclose(sign * plain[:, c], got[:, c], atol=1e-7)
+
+
+@pytest.mark.parametrize("d, n", [(1, 3), (5, 40), (40, 90), (12, 7)])
+def test_rows_equal_a_plain_solver(spark, d, n):
+    rng = np.random.default_rng(d)
+    vectors = (rng.standard_normal((n, d)) * np.linspace(0.5, 2, d)).astype(np.float32).tolist()
+    vectors += [vectors[0], vectors[0]]
+    rows = whiten(table(spark, vectors).repartition(3), keep=["vec_id", "n"])
+    assert rows.columns[:3] == ["vec_id", "n", "component"]
+    rows = rows.drop(rows.columns[1]) if rows.columns.count("n") < 2 else rows.toDF(
+        "vec_id", "mine", *rows.columns[2:]
+    )
+    assert {r.mine for r in rows.collect()} == {"y"}
+    check(rows.collect(), dict(enumerate(vectors)))
+
+
+def test_unusable_vectors_are_left_out(spark):
+    rng = np.random.default_rng(4)
+    good = rng.standard_normal((20, 4)).tolist()
+    bad = [None, [], [1.0, None, 2.0, 3.0], [float("nan")] * 4, [float("inf"), 1.0, 1.0, 1.0]]
+    bad += [[1.0, -float("inf"), 1.0, 1.0], [1e300, 1.0, 1.0, 1.0], [1.0, 2.0], [0.0] * 5]
+    mixed = [v for pair in zip(good, bad) for v in pair] + good[len(bad) :]
+    used = {i: v for i, v in enumerate(mixed) if v in good}
+    check(whiten(table(spark, mixed, "double").repartition(4)).collect(), used)
+
+
+def test_large_entries_stay_exact(spark):
+    vectors = [[4e6, 1.0], [-4e6, 2.0], [2e6, -5.0], [1e6, 0.25]]
+    check(whiten(table(spark, vectors, "double")).collect(), dict(enumerate(vectors)))
+
+
+def test_tables_without_components(spark):
+    assert whiten(table(spark, [])).collect() == []
+    assert whiten(table(spark, [None, [float("nan")]])).collect() == []
+    assert whiten(table(spark, [[1.0, 2.0]] * 3)).collect() == []
+    assert whiten(table(spark, [[], []])).collect() == []
+    assert whiten(table(spark, [])).columns == [
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error",
+    ]
+
+
+def test_a_deviation_beyond_a_long_is_null():
+    model = whitening.Whitening(2**31, (0, 0), np.ones(1), np.ones((2, 1)), 1.0)
+    assert model.deviations(np.array([[1, 0], [1, 1], [2**31, 2**31]])) == [2**62, None, None]
+
+
+def test_products_of_any_size_are_exact():
+    rng = np.random.default_rng(1)
+    for bits in (8, 26, 31):
+        y = rng.integers(-(2**bits), 2**bits, (60, 3))
+        big = y.astype(object)
+        assert (product_sums(y) == big.T @ big).all()
+
+
+def spectrum(values, seed=0):
+    q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(values), len(values))))
+    v = (q * np.array(values)) @ q.T
+    return (v + v.T) / 2
+
+
+SPECTRA = {
+    "spread": np.linspace(1, 50, 50),
+    "close": [10, 10 * (1 + 1e-9), 10 * (1 + 1e-13), 9, 9 - 1e-6, *np.linspace(1, 2, 45)],
+    "equal": [7.0] * 40,
+    "wide": [1e8, *np.linspace(1e-3, 2e-3, 40)],
+    "few": [3.0, 2.0, 2.0, *[0.0] * 20],
+    "panels": np.geomspace(1, 1e4, 150),
+}
+
+
+@pytest.mark.parametrize("name", SPECTRA)
+def test_components_of_a_known_spectrum(name):
+    v = spectrum(SPECTRA[name])
+    values, vectors = leading_components(v)
+    expected = np.sort(SPECTRA[name])[::-1]
+    expected = expected[expected > 1e-12 * expected.sum()][:32]
+    assert len(values) == len(expected)
+    assert np.abs(values - expected).max() <= 1e-13 * expected[0]
+    assert np.abs(v @ vectors - vectors * values).max() <= 1e-13 * expected[0]
+    assert np.abs(vectors.T @ vectors - np.eye(len(values))).max() <= 1e-13
+
+
+def test_counts_are_those_of_the_eigenvalues():
+    for d in (1, 7, 60, 120):
+        v = spectrum(np.linspace(1, d, d), seed=d)
+        for shift in np.arange(0.5, d + 1):
+            above, growth = inertia(v, float(shift))
+            assert above == d - math.floor(shift) or growth > 1e3
+
+
+@pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables not present")
+def test_query_equals_a_plain_solver(spark):
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()}
+    got = queries.op11_whitening(spark, SF_DIR)
+    kinds = [f.dataType.simpleString() for f in got.schema]
+    assert kinds == ["bigint", "int", "bigint", "bigint", "double", "double", "double"]
+    check(got.collect(), vectors)
