@@ -88,11 +88,17 @@ def _json_field(name: str) -> Column:
 
 
 def _json_records(raw: DataFrame) -> DataFrame:
-    """Records as JSON, every eleventh order's without its NULL fields, the others' with them."""
+    """Records as JSON, every eleventh order's without its NULL fields, the others' with them.
+
+    Every nineteenth order's have a key that no sale record has, and ``lon`` twice.
+    """
     record = F.struct(*[_json_field(name).alias(name) for name in RAW_FIELDS])
     whole = F.to_json(record, {"ignoreNullFields": "false"})
     short = F.col("l_orderkey") % 11 == 0
-    return raw.select("l_orderkey", F.when(short, F.to_json(record)).otherwise(whole).alias("value"))
+    text = F.when(short, F.to_json(record)).otherwise(whole)
+    more = F.concat(F.lit('{"lon":"0","extra":{"a":1},'), F.substr(text, F.lit(2)))
+    text = F.when(F.col("l_orderkey") % 19 == 0, more).otherwise(text)
+    return raw.select("l_orderkey", text.alias("value"))
 
 
 def write_feed(raw: DataFrame, path: str) -> None:

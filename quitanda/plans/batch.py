@@ -79,7 +79,7 @@ def run_batch(
         result.landed = land_feed(config, feed, plain_scan=False)
     elif config.feed_path is not None:
         read = partial(read_records, spark, config.feed_path, config.multi_line)
-        result.landed = land_feed(config, read, plain_scan=True)
+        result.landed = land_feed(config, read, plain_scan=not config.multi_line)
 
     raw = landed_or_none(spark, config.raw_path, config.collection)
     if raw is None:

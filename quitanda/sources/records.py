@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
 
 from quitanda.schema import FIELD_MAP
+from quitanda.settings import session_setting
+from quitanda.sources.json_ranges import (
+    MALFORMED,
+    NO_OBJECT,
+    BrokenDocument,
+    document_elements,
+)
 
 RECORD = "record"
+REST = "rest"
+
+BLANKS = " \t\r\n"
 
 MALFORMED_FEED = "MALFORMED_FEED"
 UNREADABLE_FEED = "UNREADABLE_FEED"
@@ -21,15 +29,19 @@ NOT_A_RECORD = "NOT_A_RECORD"
 # A text above this size may fail to parse for its size alone, so it is not called malformed.
 PARSE_BYTES = 16 * 1024 * 1024
 
-_CORRUPT = "_corrupt_feed_text"
+_FOUND = f"struct<{RECORD}: variant, {REST}: map<string, variant>>"
+
+
+def _malformed() -> Column:
+    return F.raise_error(F.lit(f"{MALFORMED_FEED}: the feed is not valid JSON"))
 
 
 def _refusal(text: Column) -> Column:
     """Raises for a text that is no JSON; one too large to tell gets an error of its own."""
-    return F.when(
-        F.octet_length(text) <= PARSE_BYTES,
-        F.raise_error(F.lit(f"{MALFORMED_FEED}: the feed is not valid JSON")),
-    ).otherwise(F.raise_error(F.lit(f"{UNREADABLE_FEED}: a large text of the feed can't be parsed")))
+    is_small = F.octet_length(text) <= PARSE_BYTES
+    return F.when(is_small, _malformed()).otherwise(
+        F.raise_error(F.lit(f"{UNREADABLE_FEED}: a large text of the feed can't be parsed"))
+    )
 
 
 def _no_record() -> Column:
@@ -41,105 +53,129 @@ def _is_record(value: Column) -> Column:
 
 
 def read_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """One VARIANT row per sale record of a JSON feed.
+    """One row per sale record of a JSON feed: ``record``, a VARIANT, and ``rest``.
 
     A list gives one row per element, an object one row, any other value none. JSON that
-    cannot be parsed, or a list element that is no object, makes the read fail when it
-    runs; ``is_malformed_feed`` tells the first kind from other failures. Of a repeated key
-    the last value counts.
-
-    Leave ``multi_line`` off for newline-delimited feeds: those are split across tasks,
-    while a multi-line file is read by one, element by element and whatever its size.
+    cannot be parsed, or a list element that is no object, makes the read fail, at once or when
+    it runs; ``is_malformed_feed`` tells the first kind from other failures. All keys of a record
+    are kept, and of a repeated key the last value counts. A record that does not fit one VARIANT
+    has the fields of a sale in ``record`` and its other keys in ``rest``, each a VARIANT of
+    its own; for other records ``rest`` is null. ``record_field`` reads a key wherever it is.
+
+    Leave ``multi_line`` off for newline-delimited feeds. With it each file is a document of any
+    size, whose elements are found by ranges, so many tasks share one file. Both kinds are
+    split across tasks.
     """
-    return _read_document(spark, path) if multi_line else _read_lines(spark, path)
+    # The setting is taken when an expression is made, so it need not stay.
+    with session_setting(spark, "spark.sql.variant.allowDuplicateKeys", "true"):
+        return _read_document(spark, path) if multi_line else _read_lines(spark, path)
 
 
-def _read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Each line as one VARIANT.
+def record_field(key: str, kind: str = "variant") -> Column:
+    """A field of what ``read_records`` gives, also of a record that does not fit one VARIANT."""
+    quoted = key.replace("\\", "\\\\").replace("'", "\\'")
+    kept = F.try_variant_get(RECORD, f"$['{quoted}']", kind)
+    return F.coalesce(kept, F.try_variant_get(F.col(REST)[key], "$", kind))
 
-    A line that does not fit one, or that repeats a key, is read again by the fields of a
-    sale record; it lands those only.
-    """
-    lines = spark.read.text(path)
-    # Told here and not by a filter, which Spark could run after what it should keep out.
-    is_text = F.trim("value") != F.lit("")
-    fields = StructType([StructField(key, VariantType()) for key in FIELD_MAP])
-    again = F.from_json("value", ArrayType(fields))
-    elements = F.try_variant_get("document", "$", "array<variant>")
-    parsed = lines.select("value", F.try_parse_json("value").alias("document")).select(
-        F.when(
-            F.col("document").isNull() & is_text,
-            F.transform(
-                F.coalesce(again, _refusal(F.col("value")).cast(ArrayType(fields))),
-                lambda record: F.struct(
-                    F.to_variant_object(record).alias("element"),
-                    record.isNotNull().alias("is_record"),
-                    F.lit(True).alias("from_list"),
-                ),
-            ),
-        )
-        .when(
-            is_text,
-            F.transform(
-                F.coalesce(elements, F.array("document")),
-                lambda element: F.struct(
-                    element.alias("element"),
-                    _is_record(element).alias("is_record"),
-                    elements.isNotNull().alias("from_list"),
-                ),
-            ),
-        )
-        .alias("found")
-    )
-    found = parsed.select(F.explode("found").alias("found")).select("found.*")
-    return found.where(F.col("is_record") | F.col("from_list")).select(
-        F.when(F.col("is_record"), F.col("element")).otherwise(_no_record()).alias(RECORD)
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _last_values(entries: Column) -> Column:
+    """Entries (key, value) of a record without those whose key comes again after them."""
+    return F.transform(
+        F.array_distinct(entries["key"]),
+        lambda key: F.element_at(F.filter(entries, lambda entry: entry["key"] == key), -1),
     )
 
 
-def _record_keys(spark: SparkSession, path: str) -> list[str]:
-    """Keys of a sale record and, after a pass over the feed, those it has besides.
+def _by_field(entries: Column) -> Column:
+    """A record (record, rest) from its entries: the fields of a sale in a VARIANT, the others each
+    in one of their own."""
 
-    Keys that differ from another in upper and lower case only are no columns of their own,
-    and where a record repeats a key only the known ones are taken.
-    """
-    try:
-        found = spark.read.option("multiLine", True).json(path).schema.names
-    except AnalysisException as error:
-        if error.getCondition() != "COLUMN_ALREADY_EXISTS":
-            raise
-        found = []
-    keys = {key.lower(): key for key in [*reversed(found), *FIELD_MAP] if key != "_corrupt_record"}
-    return list(keys.values())
+    def value(last: Column, key: str) -> Column:
+        same = F.filter(last, lambda entry: entry["key"] == F.lit(key))
+        return F.get(same, F.lit(0))["value"].alias(key)
 
+    def record(last: Column) -> Column:
+        others = F.filter(last, lambda entry: ~entry["key"].isin(*FIELD_MAP))
+        fields = F.to_variant_object(F.struct(*[value(last, key) for key in FIELD_MAP]))
+        return F.struct(fields.alias(RECORD), F.map_from_entries(others).alias(REST))
 
-def _read_document(spark: SparkSession, path: str) -> DataFrame:
-    """A document of any size: the reader streams its elements, each field a VARIANT."""
-    keys = _record_keys(spark, path)
-    schema = StructType([StructField(key, VariantType()) for key in keys])
-    rows = (
-        spark.read.schema(schema.add(_CORRUPT, StringType()))
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("multiLine", True)
-        .json(path)
+    return _once(entries, lambda found: _once(_last_values(found), record))
+
+
+def _whole(record: Column) -> Column:
+    return F.struct(record.alias(RECORD), F.lit(None).cast("map<string,variant>").alias(REST))
+
+
+def _object(text: Column, document: Column) -> Column:
+    """The record of an object, given its text and what the text parses to, if anything."""
+
+    def again(entries: Column) -> Column:
+        refused = _refusal(text).cast(_FOUND)
+        return F.when(entries.isNotNull(), _by_field(entries)).otherwise(refused)
+
+    entries = F.map_entries(F.from_json(text, "map<string,variant>"))
+    return F.when(document.isNotNull(), _whole(document)).otherwise(_once(entries, again))
+
+
+def _list(text: Column, document: Column) -> Column:
+    """The records of a list, given its text and what the text parses to, if anything."""
+    again = F.from_json(text, "array<map<string,variant>>")
+    again = F.transform(
+        F.coalesce(again, _refusal(text).cast("array<map<string,variant>>")),
+        lambda record: F.when(record.isNotNull(), _by_field(F.map_entries(record))).otherwise(
+            _no_record().cast(_FOUND)
+        ),
     )
-    corrupt = F.col(_CORRUPT)
-    document = F.try_parse_json(corrupt)
-    is_list = F.try_variant_get(document, "$", "array<variant>").isNotNull()
-    is_value = document.isNotNull() & ~is_list & ~_is_record(document)
-    record = F.to_variant_object(F.struct(*[F.col(_quoted(key)) for key in keys]))
-    # The reader refuses queries for the unread text alone, so a field is looked at as well.
-    read = corrupt.isNull() | F.col(_quoted(keys[-1])).isNotNull()
-    return rows.where(read | ~F.coalesce(is_value, F.lit(False))).select(
-        F.when(corrupt.isNull(), record)
-        .when(document.isNull(), _refusal(corrupt))
-        .otherwise(_no_record())
-        .alias(RECORD)
+    elements = F.transform(
+        F.try_variant_get(document, "$", "array<variant>"),
+        lambda element: F.when(_is_record(element), _whole(element)).otherwise(
+            _no_record().cast(_FOUND)
+        ),
     )
+    return F.when(document.isNull(), again).otherwise(elements)
 
 
-def _quoted(key: str) -> str:
-    return "`" + key.replace("`", "``") + "`"
+def _read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Each line as one value. The first character of a line tells an object from a list."""
+    lines = spark.read.text(path)
+    # Told here and not by a filter, which Spark could run after what it should keep out.
+    first = F.substring(F.ltrim("value", F.lit(BLANKS)), 1, 1)
+    parsed = lines.select(
+        "value",
+        first.alias("first"),
+        F.when(first != F.lit(""), F.try_parse_json("value")).alias("document"),
+    )
+    text, document, first = F.col("value"), F.col("document"), F.col("first")
+    listed = F.explode_outer(F.when(first == "[", _list(text, document)))
+    found = parsed.select("value", "document", "first", listed.alias("element"))
+    alone = F.when(first == "{", _object(text, document)).when(
+        (first != "") & (first != "[") & document.isNull(), _refusal(text).cast(_FOUND)
+    )
+    found = found.select(F.when(first == "[", F.col("element")).otherwise(alone).alias("found"))
+    return found.where("found IS NOT NULL").select("found.*")
+
+
+def _read_document(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of any size: each element's text is parsed as a line would be."""
+    try:
+        elements = document_elements(spark, path)
+    except BrokenDocument as error:
+        raise ValueError(f"{MALFORMED_FEED}: {error}") from error
+    text, fault = F.col("value"), F.col("fault")
+    parsed = elements.select(
+        "value", "fault", F.when(fault.isNull(), F.try_parse_json("value")).alias("document")
+    )
+    found = (
+        F.when(fault == MALFORMED, _malformed().cast(_FOUND))
+        .when(fault == NO_OBJECT, _no_record().cast(_FOUND))
+        .otherwise(_object(text, F.col("document")))
+    )
+    return parsed.select(found.alias("found")).select("found.*")
 
 
 def is_malformed_feed(error: BaseException) -> bool:

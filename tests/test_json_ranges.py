@@ -1,0 +1,221 @@
+"""Documents cut into many ranges give the records that a plain JSON reader gives."""
+
+from __future__ import annotations
+
+import gzip
+import json
+import random
+from collections import defaultdict
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from quitanda.settings import session_setting
+from quitanda.sources import json_ranges
+from quitanda.sources.json_ranges import document_elements
+from quitanda.sources.records import RECORD, is_malformed_feed, read_records, record_field
+
+
+def read_cut(spark, path, size, partitions=3):
+    """Records of a feed read in ranges of about ``size`` bytes."""
+    with (
+        session_setting(spark, "spark.sql.files.maxPartitionBytes", str(size)),
+        session_setting(spark, "spark.sql.files.openCostInBytes", "1"),
+        session_setting(spark, "spark.sql.shuffle.partitions", str(partitions)),
+    ):
+        records = read_records(spark, str(path), multi_line=True)
+        return [json.loads(r[0]) for r in records.select(F.to_json(RECORD)).collect()]
+
+
+def odd_text(rng):
+    pieces = ['"', "\\", '\\"', "{", "}", "[", "]", ",", "é", "🙂", "\n", "}{", '"},{"', "\\\\", "a"]
+    return "".join(rng.choice(pieces) for _ in range(rng.randint(0, 8)))
+
+
+def odd_value(rng, depth=0):
+    kind = rng.randint(0, 7 if depth < 3 else 4)
+    if kind < 3:
+        return odd_text(rng)
+    if kind < 5:
+        return rng.choice([1, -2.5, True, False, 10**12])
+    if kind == 5:
+        return [odd_value(rng, depth + 1) for _ in range(rng.randint(0, 3))]
+    return {odd_text(rng) + str(i): odd_value(rng, depth + 1) for i in range(rng.randint(0, 3))}
+
+
+def odd_record(rng):
+    return {f"k{i}{odd_text(rng)}": odd_value(rng) for i in range(rng.randint(0, 4))}
+
+
+def same(found, expected):
+    return sorted(json.dumps(r, sort_keys=True) for r in found) == sorted(
+        json.dumps(r, sort_keys=True) for r in expected
+    )
+
+
+def ranges_of(rng, texts, compressed=False):
+    """Batches (fragment, file, start, length, stored) as a text reader cuts documents into ranges."""
+    rows = []
+    for file, text in enumerate(texts):
+        raw = text.encode()
+        fragments = raw.split(b"}")
+        fragments = fragments[:-1] if not fragments[-1] else fragments
+        start, at = 0, 0
+        for fragment in fragments:
+            if rng.random() < 0.3:
+                start = at
+            rows.append((fragment.decode(), file, start, 1, -1 if compressed else len(raw)))
+            at += len(fragment) + 1
+    sizes = rng.choice([1, 3, 1000])
+    for i in range(0, len(rows), sizes):
+        columns = list(zip(*rows[i : i + sizes]))
+        arrays = [pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]]
+        yield pa.RecordBatch.from_arrays(arrays, ["value", "file", "start", "length", "stored"])
+
+
+def elements_of(rng, texts, compressed=False):
+    """What the two passes make of documents, with the pieces put together."""
+    batches = list(ranges_of(rng, texts, compressed))
+    sums = [Row(**row) for b in json_ranges._sum_ranges(iter(batches)) for row in b.to_pylist()]
+    starts, documents = json_ranges.range_starts(sums)
+    found, chains = [], defaultdict(list)
+    for batch in json_ranges._cut(iter(batches), starts, documents):
+        for row in batch.to_pylist():
+            if row["whole"]:
+                found.append((row["value"], row["fault"]))
+            else:
+                chains[row["file"], row["chain"]].append((row["start"], row["value"]))
+    for (file, chain), pieces in chains.items():
+        text = "".join(value for _, value in sorted(pieces))
+        found += json_ranges._chain_rows(documents[file], chain, text)
+    return found
+
+
+@pytest.mark.parametrize("seed", range(100))
+def test_random_documents_in_ranges_of_any_size(seed):
+    rng = random.Random(seed)
+    texts, expected = [], []
+    for i in range(3):
+        records = [odd_record(rng) for _ in range(rng.choice([0, 1, 2, 30]))]
+        text = json.dumps(records, indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+        texts.append(" \n" * (i % 2) + text + "\n" * (i % 3))
+        expected += records
+    expected.append(odd_record(rng))
+    texts.append(json.dumps(expected[-1]))
+    found = elements_of(rng, texts, compressed=seed % 5 == 0)
+    assert not [fault for _, fault in found if fault]
+    assert same([json.loads(value) for value, _ in found], expected)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_documents_are_read_like_json(spark, tmp_path, seed):
+    rng, expected = random.Random(seed), []
+    for i in range(3):
+        records = [odd_record(rng) for _ in range(10)]
+        expected += records
+        text = json.dumps(records, indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+        (tmp_path / f"{i}.json").write_text(text, encoding="utf-8")
+    for size in (300, 10_000_000):
+        assert same(read_cut(spark, tmp_path, size), expected)
+
+
+def test_one_list_is_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "list.json"
+    records = [{"n": i, "text": "}{" * (i % 50)} for i in range(3000)]
+    path.write_text(json.dumps(records))
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", "20000"):
+        rows = read_records(spark, str(path), multi_line=True)
+        rows = rows.select(record_field("n", "int").alias("n"), F.spark_partition_id().alias("task"))
+        rows = rows.collect()
+    assert sorted(r.n for r in rows) == list(range(3000))
+    assert len({r.task for r in rows}) >= path.stat().st_size // 20000
+
+
+def test_an_element_longer_than_many_ranges(spark, tmp_path):
+    path = tmp_path / "list.json"
+    records = [{"a": 1}, {"b": [{"c": "x}" * 3000}] * 3}, {"d": {}}]
+    path.write_text(json.dumps(records))
+    assert same(read_cut(spark, path, 2000, partitions=5), records)
+
+
+def test_what_comes_before_and_after(spark, tmp_path):
+    for name, text, expected in (
+        ("mark", "﻿" + '[{"a":1}]', [{"a": 1}]),
+        ("mark_object", "﻿" + '{"a":1}', [{"a": 1}]),
+        ("empty", "", []),
+        ("blank", " \n ", []),
+        ("braces", '"a}b{c"', []),
+    ):
+        path = tmp_path / f"{name}.json"
+        path.write_text(text, encoding="utf-8")
+        for size in (4, 1000):
+            assert read_cut(spark, path, size) == expected, name
+    path = tmp_path / "packed.json.gz"
+    with gzip.open(path, "wt") as file:
+        json.dump([{"a": i} for i in range(100)], file)
+    assert same(read_cut(spark, path, 10), [{"a": i} for i in range(100)])
+    with gzip.open(tmp_path / "one.json.gz", "wt") as file:
+        json.dump({"a": 5}, file)
+    assert read_cut(spark, tmp_path / "one.json.gz", 10) == [{"a": 5}]
+
+
+MALFORMED = [
+    '{"a":1', '[{"a":1}', '[{"a":1', '[{"a":1},', '[{"a":1}{"a":2}]', '[{"a":1},,{"a":2}]', "[,{}]",
+    '[{"a":1},]', '[{"a":1}] x', '{"a":1} x', '{"a":1}{"a":2}', '{"a":1}}', '[{"a":1]}', '["a',
+    '[{"a":"}]', "tru", '[{"a":1} {"a":2}]', '[{"a":tru},{"a":2}]', 'x[{"a":1}]', "[}", "}", '[{"a":1}]]',
+]
+
+
+@pytest.mark.parametrize("text", MALFORMED)
+def test_what_is_no_json_is_told(text):
+    for seed in range(5):
+        try:
+            found = elements_of(random.Random(seed), [text])
+        except json_ranges.BrokenDocument:
+            continue
+        faults = [fault for _, fault in found if fault]
+        assert faults == [json_ranges.MALFORMED] or any(not is_json(value) for value, _ in found), text
+
+
+def is_json(text):
+    try:
+        json.loads(text)
+    except ValueError:
+        return False
+    return True
+
+
+OTHERS = ['[{"a":1}, 5]', '[5, {"a":1}]', '[{"a":1}, [{"b":2}], {"c":3}]', "[null]", '[[{"a":1}]]', '["}"]']
+
+
+@pytest.mark.parametrize("text", OTHERS)
+def test_other_elements_are_told(text):
+    for seed in range(5):
+        faults = [fault for _, fault in elements_of(random.Random(seed), [text]) if fault]
+        assert faults == [json_ranges.NO_OBJECT]
+
+
+@pytest.mark.parametrize("text, malformed", [(MALFORMED[0], True), (MALFORMED[5], True), (MALFORMED[17], True), (OTHERS[0], False)])
+def test_a_read_of_such_a_document_fails(spark, tmp_path, text, malformed):
+    path = tmp_path / "feed.json"
+    path.write_text(text)
+    with pytest.raises(Exception) as failure:
+        read_cut(spark, path, 1000)
+    assert is_malformed_feed(failure.value) == malformed
+    assert malformed or "NOT_A_RECORD" in str(failure.value)
+
+
+def test_splits_that_change_between_the_passes_are_refused(spark, tmp_path):
+    path = tmp_path / "feed.json"
+    path.write_text(json.dumps([{"a": i} for i in range(500)]))
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", "1000"):
+        elements = document_elements(spark, str(path))
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", "700"):
+        try:
+            found = elements.where("fault IS NULL").count()
+        except Exception as error:
+            assert "splits of the feed have changed" in str(error)
+        else:
+            assert found == 500

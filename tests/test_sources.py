@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quitanda.operators.cleaning import clean_records, select_fields
 from quitanda.schema import STAGING_TABLE, TABLES
 from quitanda.sources.landing import land_raw, landed_or_none, scan_raw
-from quitanda.sources.records import CachedFeed, is_malformed_feed, read_records
+from quitanda.sources.records import CachedFeed, is_malformed_feed, read_records, record_field
 from quitanda.sources.tables import (
     comment_on_column,
     comment_on_table,
@@ -251,3 +251,47 @@ def test_unknown_keys_land_and_repeated_ones_keep_the_last(spark, tmp_path):
         assert sorted(map(tuple, records.select(price(), color).collect())) == [("1", "azul"), ("2", None)]
         records = feed(spark, tmp_path, '[{"Preço":1,"Preço":2},{"Preço":3}]', multi_line)
         assert sorted(r.p for r in records.select(price()).collect()) == ["2", "3"]
+
+
+def test_a_repeated_key_leaves_all_other_keys_in_place(spark, tmp_path):
+    records = [
+        '{"id":"1","id":"2","Preço":5,"extra":"keep me","deep":{"a":1,"a":{"b":2,"b":3}}}',
+        '{"id":"3","Extra":7}',
+    ]
+    for multi_line, text in (
+        (False, "\n".join(records)),
+        (False, f"[{','.join(records)}]"),
+        (True, f"[{','.join(records)}]"),
+    ):
+        rows = feed(spark, tmp_path, text, multi_line)
+        names = ["id", "extra", "Extra", "deep"]
+        found = rows.select(*[record_field(name, "string").alias(f"f{i}") for i, name in enumerate(names)])
+        assert sorted(map(tuple, found.collect())) == [
+            ("2", "keep me", None, '{"a":{"b":3}}'),
+            ("3", None, "7", None),
+        ]
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_a_record_beyond_the_size_of_one_value_keeps_its_keys(spark, tmp_path, multi_line):
+    """A VARIANT holds 128 MiB at most; the record is larger than that, each of its keys smaller."""
+    path = tmp_path / "large.json"
+    long = "x" * 14_000_000
+    with open(path, "w", encoding="utf-8") as file:
+        file.write('[{"Preço":1,"cor":"azul"},' if multi_line else '{"Preço":1,"cor":"azul"}\n')
+        file.write('{"Preço":2,"Preço":3,"extra":"a","extra":"b"')
+        for i in range(10):
+            file.write(f',"k{i}":"{long}"')
+        file.write("}]" if multi_line else "}\n")
+    records = read_records(spark, str(path), multi_line)
+    columns = [record_field(name, "string") for name in ("Preço", "extra", "cor")]
+    columns += [F.length(record_field(f"k{i}", "string")) for i in (0, 9)]
+    raw = str(tmp_path / "raw")
+    assert land_raw(records, raw, "vendas")
+    landed = scan_raw(spark, raw, "vendas", columns=[c.alias(f"c{i}") for i, c in enumerate(columns)])
+    assert sorted(map(tuple, landed.collect())) == [
+        ("1", None, "azul", None, None),
+        ("3", "b", None, 14_000_000, 14_000_000),
+    ]
+    prices = clean_records(scan_raw(spark, raw, "vendas")).select("price_cents").collect()
+    assert sorted(r.price_cents for r in prices) == [100, 300]
