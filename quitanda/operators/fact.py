@@ -7,6 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quitanda.operators.keys import task_starts, with_dense_number
 from quitanda.operators.lookups import BROADCAST_BYTES, join_keyed
 from quitanda.schema import DIMENSIONS, FACT_COLUMNS, FACT_TABLE, UNKNOWN_KEY
 from quitanda.sources.tables import Lot, Warehouse, aligned_rows, drop_lots, write_lot
@@ -24,8 +25,9 @@ def fact_rows(
 ) -> DataFrame:
     """One fact row per staged row with a date; an unmatched key becomes -1.
 
-    ``sk_venda`` is ``first_sale`` plus the staging id, so it is unique and the same if a
-    task runs again.
+    ``sk_venda`` follows ``first_sale``. It is the staging id without the gaps between the
+    tasks that staged the rows, so it is the same if a task runs again, and a staged batch, whose
+    rows with a date come first in each task, is numbered without a gap.
     """
     dated = staged.where(F.col("purchase_date").isNotNull())
     count_dated = cache(dated.count)
@@ -39,6 +41,7 @@ def fact_rows(
         "purchase_rating",
         "etl_load_timestamp",
     )
+    starts = task_starts(dated, "staging_id", first_sale)
     for table in LOOKUP_ORDER:
         dimension = by_table[table]
         keyed = dimensions[table].select(dimension.surrogate, *dimension.natural_key)
@@ -57,8 +60,7 @@ def fact_rows(
         d.surrogate: F.coalesce(F.col(d.surrogate), F.lit(UNKNOWN_KEY)) for d in DIMENSIONS
     }
     return (
-        rows.withColumns(surrogates)
-        .withColumn("sk_venda", F.col("staging_id") + F.lit(first_sale))
+        with_dense_number(rows.withColumns(surrogates), "staging_id", "sk_venda", starts)
         .withColumnRenamed("price_cents", "preco_cents")
         .select(*FACT_COLUMNS)
     )

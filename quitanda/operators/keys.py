@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,3 +39,35 @@ def assign_keys(
     return placed.join(F.broadcast(starts), "_part").select(
         (F.col("_place") + F.col("_start")).cast("int").alias(surrogate), *members.columns
     )
+
+
+# A row number taken at a write has the task in the bits from here on, and a place below.
+TASK_BITS = 33
+
+
+def _task_and_place(number: str) -> tuple[Column, Column]:
+    from_0 = F.col(number) - F.lit(1)
+    task = F.shiftright(from_0, TASK_BITS)
+    return task, from_0 - F.shiftleft(task, TASK_BITS)
+
+
+def task_starts(stored: DataFrame, number: str, first: int) -> DataFrame:
+    """Where the dense numbers of each task begin, after ``first``: a row for each task that
+    wrote the ``stored`` rows, which goes through the driver.
+
+    The numbers of a task follow those of the tasks before it. They are taken from what is stored,
+    so they are the same whenever that is read.
+    """
+    task, place = _task_and_place(number)
+    lengths = stored.groupBy(task.alias("task")).agg((F.max(place) + 1).alias("rows")).collect()
+    lengths.sort()
+    starts = accumulate((length.rows for length in lengths), initial=first + 1)
+    starts = [(length.task, start) for length, start in zip(lengths, starts)]
+    return stored.sparkSession.createDataFrame(starts, "_task bigint, _start bigint")
+
+
+def with_dense_number(rows: DataFrame, number: str, name: str, starts: DataFrame) -> DataFrame:
+    """``rows`` with ``name``: their row number (task and place) without the gaps between tasks."""
+    task, place = _task_and_place(number)
+    placed = rows.withColumns({"_task": task, "_place": place}).join(F.broadcast(starts), "_task")
+    return placed.withColumn(name, F.col("_start") + F.col("_place")).drop("_task", "_start", "_place")

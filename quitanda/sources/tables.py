@@ -154,7 +154,9 @@ def load_staging(warehouse: Warehouse, cleaned: DataFrame, collection: str) -> N
     Length and range limits are those of the table: a value beyond them fails the insert,
     and the old batch stays, as the new files take its place only when the job commits.
     """
-    numbered = staging_columns(cleaned).select(
+    # Rows with a date come first, so the numbers of those that become sales have no gaps.
+    dated_first = staging_columns(cleaned).sortWithinPartitions(F.col("purchase_date").isNull())
+    numbered = dated_first.select(
         (F.monotonically_increasing_id() + 1).alias("staging_id"),
         *STAGING_COLUMNS,
         F.lit(collection).alias("collection"),

@@ -247,6 +247,35 @@ def test_a_new_run_appends_and_a_repeated_one_replaces_itself(spark, warehouse):
         load_fact(warehouse, batch, "vendas", batch="../x")
 
 
+def test_sales_are_numbered_without_gaps(spark, warehouse):
+    from quitanda.operators.cleaning import staging_columns
+    from quitanda.sources.tables import load_staging
+
+    changes = [{"purchase_date": None} if i % 3 == 0 else {"price_cents": i} for i in range(50)]
+    batch = staging_columns(staged_rows(spark, *changes).repartition(7))
+    load_staging(warehouse, batch, "vendas")
+    staged = warehouse.staging("vendas")
+    load_dimensions(warehouse, staged)
+    assert staged.agg(F.max("staging_id")).first()[0] > 2**33
+    numbers = []
+    for name in ("one", "two"):
+        lot = load_fact(warehouse, staged, "vendas", batch=name)
+        assert load_fact(warehouse, staged, "vendas", batch=name) == lot
+        numbers.append({r.sk_venda: r.preco_cents for r in warehouse.fact_lot(lot).collect()})
+    assert sorted(numbers[0]) == list(range(1, 34))
+    assert sorted(numbers[1]) == list(range(34, 67))
+    assert {n + 33: price for n, price in numbers[0].items()} == numbers[1]
+
+
+def test_numbers_of_any_task_and_place_stay_apart(spark, warehouse):
+    from quitanda.operators.keys import task_starts, with_dense_number
+
+    numbers = [1, 5, 2**33 + 1, 2**33 + 2, 3 * 2**33 + 4, 2**62 + 1]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n bigint").repartition(3)
+    dense = with_dense_number(rows, "n", "dense", task_starts(rows, "n", 10))
+    assert {r.n: r.dense for r in dense.collect()} == dict(zip(numbers, [11, 15, 16, 17, 21, 22]))
+
+
 def test_a_failing_overwrite_leaves_the_old_fact(spark, warehouse):
     batch = staged_rows(spark, *BATCH)
     load_dimensions(warehouse, batch)
