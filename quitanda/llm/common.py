@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from weakref import WeakKeyDictionary
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quitanda.settings import new_shared_path
+from quitanda.settings import new_shared_path, remove_path
 
 SMALL_BATCH = 256
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,11 +20,56 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written_to: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """The rows of ``frame`` as a table of its own in the shared folder, free of lineage."""
     path = new_shared_path(frame.sparkSession, label)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    _written_to[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` gave, once nothing reads them any more."""
+    for table in tables:
+        remove_path(table.sparkSession, _written_to.pop(table))
+
+
+# Bits of a key filter at most: beyond a tenth as many keys it lets more others through.
+FILTER_BITS = 2**27
+
+
+def likely_rows(frame: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``frame`` without most rows whose ``key`` is not in ``keys``; no row of a key in it goes.
+
+    The tasks that read ``frame`` know the keys by a Bloom filter, so that a join with them, which
+    has to follow, shuffles little else.
+    """
+    bits = min(FILTER_BITS, 1 << max(16, (10 * keys.count()).bit_length()))
+    places = [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(3)]
+    bit = keys.select(F.explode(F.array(*places)).alias("bit"))
+    one = F.expr("shiftleft(1L, cast(bit % 64 as int))")
+    words = bit.groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(one).alias("bits")).toPandas()
+    table = np.zeros(bits // 64, np.int64)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shared = frame.sparkSession.sparkContext.broadcast(table)
+    names = [f"c{i}" for i in range(len(frame.columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = np.ones(batch.num_rows, bool)
+            for column in batch.columns[len(names) :]:
+                at = np.asarray(column)
+                kept &= (shared.value[at >> 6] >> (at & 63)) & 1 == 1
+            yield batch.select(names).filter(pa.array(kept))
+
+    kinds = ", ".join(f"{name} {kind}" for name, (_, kind) in zip(names, frame.dtypes))
+    columns = [F.col(f"`{column}`").alias(name) for column, name in zip(frame.columns, names)]
+    marked = frame.select(*columns, *[place.alias(f"p{i}") for i, place in enumerate(places)])
+    return marked.mapInArrow(run, kinds).toDF(*frame.columns)
 
 
 def map_batches(frame: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quitanda.llm.common import map_batches, written
+from quitanda.llm.common import discard, likely_rows, map_batches, written
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -175,11 +175,12 @@ class EvidenceModel:
     """Log-likelihood ratios as whole tables (hash, ratio), looked up by joins.
 
     ``grams`` has every counted expression, ``contexts`` every counted context, for what comes
-    next there unseen.
+    next there unseen. ``tables`` are the written ones behind both.
     """
 
     grams: DataFrame
     contexts: DataFrame
+    tables: tuple[DataFrame, ...] = ()
 
     def ratios_of(self, wanted: DataFrame) -> DataFrame:
         """Rows (block, gram, ratio) for those of (block, gram, context) that have evidence."""
@@ -251,9 +252,10 @@ def evidence_from(words: DataFrame) -> EvidenceModel:
     )
     rows = written(rows, "toxicity-ratios")
     contexts = rows.groupBy(F.col(context).alias("hash")).agg(F.first("spare").alias("ratio"))
+    contexts = written(contexts, "toxicity-contexts")
+    discard(grams)
     return EvidenceModel(
-        rows.select(F.col(f"g{ORDER}").alias("hash"), "ratio"),
-        written(contexts, "toxicity-contexts"),
+        rows.select(F.col(f"g{ORDER}").alias("hash"), "ratio"), contexts, (rows, contexts)
     )
 
 
@@ -352,8 +354,9 @@ def _with_features(
     finish: Callable[[tuple[float, ...]], tuple],
     name: str,
     kind: str,
-) -> DataFrame:
-    """The columns in ``keep`` and what ``finish`` makes of a text's features, per input row.
+) -> tuple[DataFrame, DataFrame]:
+    """The columns in ``keep`` and what ``finish`` makes of a text's features, per input row; and
+    the written table that these are read from.
 
     The distinct expressions of each block are joined with the model's tables. What is found
     meets the block's texts, which are kept and shuffled as word numbers only.
@@ -408,7 +411,7 @@ def _with_features(
     kinds = dict(docs.dtypes)
     names = [f"k{i} {kinds[column]}" for i, column in enumerate(kept)]
     mapped = map_batches(together, start, ", ".join([*names, f"n0 {kind}"]))
-    return mapped.toDF(*kept, name)
+    return mapped.toDF(*kept, name), blocks
 
 
 def fit_logistic(rows: np.ndarray, labels: np.ndarray, steps: int = 60) -> tuple[float, ...]:
@@ -450,9 +453,9 @@ def train(
     few = docs.sparkSession.createDataFrame(few.limit(calibration_rows).collect(), folded.schema)
     reserved = few.select("doc_id", F.lit(True).alias("reserved"))
     # Joined in the same way at every size: texts are shuffled once and not kept.
-    counted = texts.where(fold != HELD_OUT).join(
-        folded.where(fold != HELD_OUT).hint("merge"), "doc_id"
-    )
+    wanted = folded.where(fold != HELD_OUT)
+    counted = likely_rows(texts.where(fold != HELD_OUT), wanted, "doc_id")
+    counted = counted.join(wanted.hint("merge"), "doc_id")
     counted = counted.join(F.broadcast(reserved), "doc_id", "left")
     words = written(
         count_words(
@@ -461,9 +464,10 @@ def train(
         "toxicity-words",
     )
     calibrating = texts.where(fold == CALIBRATION).join(F.broadcast(few), "doc_id")
-    sample = _with_features(
+    partial = evidence_from(words.where(~F.col("reserved")))
+    sample, blocks = _with_features(
         calibrating,
-        evidence_from(words.where(~F.col("reserved"))),
+        partial,
         "text",
         ["toxic"],
         lambda x: (list(x),),
@@ -471,9 +475,12 @@ def train(
         "array<double>",
     )
     sample = sample.limit(2 * calibration_rows).collect()
+    discard(blocks, *partial.tables)
     rows = np.array([row.x for row in sample], float).reshape(-1, N_FEATURES)
     weights = fit_logistic(rows, np.array([row.toxic > 0 for row in sample], float))
-    return ToxicityModel(evidence_from(words), weights)
+    evidence = evidence_from(words)
+    discard(words)
+    return ToxicityModel(evidence, weights)
 
 
 def score(
@@ -490,6 +497,7 @@ def score(
     expressions of the texts, whatever its size; texts are shuffled as word numbers.
     """
     weigher = ToxicityModel(None, model.weights)
-    return _with_features(
+    scored, _ = _with_features(
         docs, model.evidence, text, keep, lambda x: (weigher.probability(x),), name, "double"
     )
+    return scored

@@ -169,3 +169,18 @@ def test_labels_of_the_calibration_fold_are_counted(spark, calibration_rows):
     model = T.train(docs_table(spark, texts), labels_table(spark, labels), calibration_rows)
     only_there, nowhere = model.evidence.evidence(["qwyjibo", "qxyjibo"])
     assert only_there > 3 and only_there > nowhere + 3
+
+
+def test_the_label_filter_loses_no_labelled_text(spark):
+    from quitanda.llm.common import likely_rows
+
+    rows = spark.createDataFrame([(i, f"t{i}", "x") for i in range(3000)], "doc_id bigint, text string, place0 string")
+    for step in (1, 7, 5000):
+        keys = spark.createDataFrame([(i,) for i in range(0, 6000, step)], "doc_id bigint")
+        found = likely_rows(rows, keys, "doc_id")
+        assert found.columns == rows.columns
+        left = {r.doc_id: r.text for r in found.collect()}
+        assert set(range(0, 3000, step)) <= set(left)
+        assert len(left) < 3000 // step + 100 and all(t == f"t{i}" for i, t in left.items())
+    none = likely_rows(rows, spark.createDataFrame([], "doc_id bigint"), "doc_id")
+    assert none.count() == 0 and likely_rows(rows.limit(0), rows.select("doc_id"), "doc_id").count() == 0
