@@ -29,7 +29,7 @@ WITH d AS (
           lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
     length(regexp_replace(text, '[^!]', '', 'g')) AS n_exclamations,
-    len(list_filter(w, x -> NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_no_letter,
+    len(list_filter(w, lambda x: NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_no_letter,
     len(list_filter(w, lambda x: regexp_matches(x, '[A-Z][A-Z]'))) AS n_shouted
   FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id
 ), judged AS (

@@ -28,6 +28,18 @@ def test_near_duplicates_leave_one_of_each_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == expected
 
 
+def test_near_duplicates_tell_rows_of_one_doc_id_apart(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen fourteen"
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b), (None, a), (None, a), (8, None), (9, "")]
+    docs = clashing(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    docs = docs.withColumnRenamed("node", "row")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, a), (5, b), (None, a), (None, a), (8, None), (9, "")], key=repr)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), SF_DIR).count() == 0
+
+
 def test_quality_stage_equals_brute_force(spark):
     texts = near_copies(6, 10, 60) + ["### " * 30, "A B " * 40, None, "few words"]
     docs = clashing(docs_table(spark, texts))
@@ -89,4 +101,14 @@ def test_random_texts_pass_every_stage_function(spark, tmp_path):
     spark.createDataFrame([(i, i % 2, i % 3 == 0) for i in range(40)], "doc_id bigint, quality int, flag boolean").selectExpr(
         "doc_id", "quality", "cast(flag as int) toxic"
     ).write.parquet(str(tmp_path / "labels.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+    assert {name for name, _ in corpus_pipeline.STAGES} == {"toxicity", "quality_rules", "near_duplicates", "packing"}
+    kept = corpus_pipeline.quality_rules(spark, corpus_pipeline.toxicity(spark, docs, str(tmp_path)), "")
+    expected = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, kept, "").collect()}
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == expected
+
+
+def test_an_empty_table_passes_every_stage(spark, tmp_path):
+    docs_table(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
