@@ -26,7 +26,11 @@ def _free_name(docs: DataFrame, name: str) -> str:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold, by models learnt from these documents."""
+    """Documents that score below the threshold, by models learnt from these documents.
+
+    A null or empty text has the score of no evidence. Texts are scored whole, repeated rows alike;
+    other columns go along, whatever they are called. An empty table stays empty.
+    """
     model = train(docs, read_table(spark, sf_dir, "labels"))
     name = _free_name(docs, "score")
     scored = score(docs, model, docs.columns, name=name)
@@ -34,26 +38,40 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects.
+
+    A null or empty text has too few words and goes. Texts are judged whole, repeated rows alike;
+    other columns go along, whatever they are called. An empty table stays empty.
+    """
     name = _free_name(docs, "kept")
     judged = judge_quality(docs, docs.columns, verdict=name)
     return judged.where(F.col(name)).drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of similar ones.
+    """One document of each group of similar ones: the one with the smallest doc_id, and of these
+    the one whose text has the smallest hash.
 
-    Similar is 0.8 or more of shingles of five words. Of rows that share the smallest doc_id
-    one stays; rows without a doc_id, which no result can name, all stay.
+    Similar is 0.8 or more of shingles of five words. Rows with the same doc_id and different
+    texts are documents of their own; of rows that agree in both one stays. Rows without a
+    doc_id, which no result can name, all stay, as do texts without words. A text is compared
+    whole, however long; other columns go along. An empty table stays empty.
     """
-    found = jaccard_components(docs, width=5, num=80)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    name = _free_name(docs, "row")
+    named = docs.where("doc_id IS NOT NULL")
+    named = named.withColumn(name, F.struct("doc_id", F.xxhash64("text").alias("text")))
+    found = jaccard_components(named, width=5, num=80, key=name)
+    first = found.where(F.col(name) == F.col("component_id")).select(name).distinct()
+    kept = named.join(first, name, "left_semi").dropDuplicates([name])
+    return kept.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents as sequences whose lengths are powers of two."""
+    """The kept documents as sequences whose lengths are powers of two.
+
+    A null text is packed like an empty one, as its end alone; a long one whole, in many sequences.
+    Repeated rows are packed each. Only doc_id and text are read. An empty table has no sequences.
+    """
     return pack(
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
     ).withColumn("ids_crc32", F.crc32("ids"))
