@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 from weakref import WeakKeyDictionary
 
@@ -38,6 +39,16 @@ def discard(*tables: DataFrame) -> None:
         remove_path(table.sparkSession, _written_to.pop(table))
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of results that nothing refers to any more.
+
+    It does so when the driver's objects for them are collected, which a long run would otherwise
+    leave to chance while the files stay on the executors' disks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 # Bits of a key filter at most: beyond a tenth as many keys it lets more others through.
 FILTER_BITS = 2**27
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quitanda.llm.common import discard, likely_rows, map_batches, written
+from quitanda.llm.common import discard, likely_rows, map_batches, release_shuffles, written
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -496,6 +496,8 @@ def score(
     equal scores; other columns are not read. The model is joined with the distinct
     expressions of the texts, whatever its size; texts are shuffled as word numbers.
     """
+    # What training shuffled is in the model's tables by now.
+    release_shuffles(docs.sparkSession)
     weigher = ToxicityModel(None, model.weights)
     scored, _ = _with_features(
         docs, model.evidence, text, keep, lambda x: (weigher.probability(x),), name, "double"
