@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quitanda.llm.mixing import MAX_RATE, SEED, WEIGHTS
-from quitanda.llm.urls import LIMIT, RULES, SOFT, STRICT
+from quitanda.llm.urls import ESCAPED_LETTERS, LIMIT, RULES, SOFT, STRICT
 
 QUALITY = r"""
 WITH d AS (
@@ -58,18 +58,22 @@ def _url_filter() -> str:
     def has(term: str) -> str:
         return f"regexp_matches(body, '(^|{edge}){term}({edge}|$)')"
 
+    body = (
+        "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    for escape, letter in ESCAPED_LETTERS:
+        body = f"replace({body}, '{escape}', '{letter}')"
     strict = " OR ".join(map(has, STRICT))
     soft = " + ".join(f"CAST({has(term)} AS INT) * {weight}" for term, weight in SOFT.items())
     return rf"""
 WITH parts AS (
-  SELECT page_id,
+  SELECT page_id, url,
     translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages
 ), ruled AS (
-  SELECT *, translate(host || path,
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body,
+  SELECT *, {body} AS body,
     CASE
 {rules}
     END AS found

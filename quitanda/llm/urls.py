@@ -18,17 +18,19 @@ RULES = (
     ("block", "net/fr/"),
 )
 
-# One strict term rejects; soft terms add up.
+# One strict term rejects; distinct soft terms add up. Words that ordinary sites use as well weigh
+# 1, those that seldom stand for anything else 2, so none rejects by itself.
 STRICT = ("porn", "xxx", "sex", "adult", "escort", "casino", "viagra", "warez", "malware")
-SOFT = {
-    term: 1
-    for term in (
-        "ads", "bet", "bets", "bonus", "cheap", "cialis", "click", "deal", "farm", "free",
-        "gamble", "jackpot", "loan", "lottery", "pharmacy", "pill", "pills", "poker", "promo",
-        "slots", "spam", "track", "tracker", "win", "winner",
-    )
-}
-LIMIT = 2
+_ORDINARY = (
+    "ads", "bonus", "cheap", "click", "deal", "farm", "free", "loan", "promo", "track", "win",
+    "winner",
+)
+_TELLING = (
+    "bet", "bets", "cialis", "gamble", "jackpot", "lottery", "pharmacy", "pill", "pills", "poker",
+    "slots", "spam", "tracker",
+)
+SOFT = dict.fromkeys(_ORDINARY, 1) | dict.fromkeys(_TELLING, 2)
+LIMIT = 3
 
 _PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -55,13 +57,29 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return found
 
 
+# Escapes of letters and what they stand for once A-Z is in lower case, in the order of decoding.
+ESCAPED_LETTERS = [(f"%{ord(c):x}", c) for c in _LOWER] + [
+    (f"%{ord(c):x}", c.lower()) for c in _UPPER
+]
+_EDGE = frozenset(_LOWER + "0123456789")
+
+
+def searched_text(url: str | None) -> str:
+    """The whole url, A-Z in lower case and escaped ASCII letters decoded."""
+    text = (url or "").encode().lower().decode()
+    if "%" in text:
+        for escape, letter in ESCAPED_LETTERS:
+            text = text.replace(escape, letter)
+    return text
+
+
 def terms_in(automaton, text: str) -> set[str]:
-    """Terms of the vocabulary in ``text`` with no letter or digit right before or after."""
+    """Terms of the vocabulary in ``text`` with none of a-z and 0-9 right before or after."""
     found = set()
     for end, term in automaton.iter(text):
         start = end - len(term) + 1
         before, after = text[start - 1 : start], text[end + 1 : end + 2]
-        if not before.isalnum() and not after.isalnum():
+        if before not in _EDGE and after not in _EDGE:
             found.add(term)
     return found
 
@@ -77,18 +95,22 @@ def judge_urls(
 ) -> DataFrame:
     """One row per input row: key, host, path, rule, verdict, strict_terms, soft_terms.
 
-    The fitting rule decides. Where none fits, host and path are searched for terms, A-Z in
-    lower case: one strict term, or distinct soft terms whose weights reach ``limit``,
-    give ``block``, anything else ``allow``. Term lists are sorted and empty under a rule.
+    The fitting rule decides. Where none fits, the whole url, query and fragment included, is
+    searched for terms, A-Z in lower case and escaped letters decoded: one strict term, or
+    distinct soft terms whose weights reach ``limit``, give ``block``, anything else ``allow``.
+    Term lists are sorted and empty under a rule.
 
-    A null url and one without ``://`` have empty host and path, fit no rule and are
-    allowed. Repeated rows give repeated results; other columns are not read. No shuffle.
+    A url without ``://`` has empty host and path and fits no rule, but is searched; a null or
+    empty one is allowed. Very long urls are searched whole. Of fitting rules of equal length
+    the later one counts. Repeated rows give repeated results, an empty table none; other columns
+    are not read, whatever their names. No shuffle.
     """
     host, path = host_of(F.col(url)), path_of(F.col(url))
     parts = pages.select(
         F.col(key).alias("k"),
         host.alias("h"),
         path.alias("p"),
+        F.col(url).alias("u"),
     ).withColumn("r", fitting_rule(F.col("h"), F.col("p"), rules))
     strict_terms, weights = frozenset(strict), dict(soft)
 
@@ -101,11 +123,10 @@ def judge_urls(
         if len(automaton):
             automaton.make_automaton()
 
-        def row(k, h, p, verdict, rule):
+        def row(k, h, p, u, verdict, rule):
             if rule is not None or not len(automaton):
                 return [(k, h, p, rule, verdict or "allow", [], [])]
-            text = f"{h}{p}".encode().lower().decode()
-            terms = terms_in(automaton, text)
+            terms = terms_in(automaton, searched_text(u))
             hard = sorted(terms & strict_terms)
             light = sorted(terms & weights.keys())
             blocked = bool(hard) or sum(weights[term] for term in light) >= limit
@@ -115,7 +136,7 @@ def judge_urls(
 
     kind = dict(pages.dtypes)[key]
     judged = map_rows(
-        parts.select("k", "h", "p", "r.verdict", "r.rule"),
+        parts.select("k", "h", "p", "u", "r.verdict", "r.rule"),
         search,
         f"k {kind}, host string, path string, rule string, verdict string, "
         "strict_terms array<string>, soft_terms array<string>",

@@ -2,9 +2,19 @@ from __future__ import annotations
 
 import pytest
 
+from quitanda.llm.oracle import oracle_sql
 from quitanda.llm.urls import judge_urls
 
 
+def by_sql(urls):
+    import duckdb
+
+    with duckdb.connect() as connection:
+        connection.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+        connection.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(urls)))
+        return connection.execute(oracle_sql()["op5_url_filter"]).fetchall()
+
+
 def judged(spark, urls, **options):
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
     return sorted(judge_urls(pages, **options).collect())
@@ -32,12 +42,24 @@ def judged(spark, urls, **options):
         ("http://free.org/free/free", "free.org", "/free/free", None, "allow"),
         ("http://free.org/bets", "free.org", "/bets", None, "block"),
         ("http://spam-farm.org/", "spam-farm.org", "/", None, "block"),
-        ("http://x.org/?casino", "x.org", "/", None, "allow"),
+        ("http://x.org/?casino", "x.org", "/", None, "block"),
+        ("https://x.org/search?q=porn", "x.org", "/search", None, "block"),
+        ("https://x.org/a#casino", "x.org", "/a", None, "block"),
+        ("http://x.org/%70or%4E", "x.org", "/%70or%4E", None, "block"),
+        ("http://x.org/%6%61", "x.org", "/%6%61", None, "allow"),
+        ("casino.org/xxx", "", "", None, "block"),
+        ("http://x.org/ésex", "x.org", "/ésex", None, "block"),
+        ("http://x.org/sex٣", "x.org", "/sex٣", None, "block"),
+        ("http://x.org/sexy", "x.org", "/sexy", None, "allow"),
+        ("http://free.org/win", "free.org", "/win", None, "allow"),
+        ("http://free.org/win?click", "free.org", "/win", None, "block"),
+        ("http://poker.org/poker#poker", "poker.org", "/poker", None, "allow"),
     ],
 )
 def test_rules_and_vocabulary(spark, url, host, path, rule, verdict):
     row = judged(spark, [url])[0]
     assert (row.host, row.path, row.rule, row.verdict) == (host, path, rule, verdict)
+    assert by_sql([url]) == [(0, host, path, rule, verdict)]
 
 
 def test_weights_terms_and_repeats(spark):
