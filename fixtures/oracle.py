@@ -425,6 +425,7 @@ def oracle_sql() -> dict[str, str]:
     fact = _from_warehouse(f"select {MEASURES} from fato")
     sks = ("produto", "vendedor", "local", "tempo", "pagamento")
     oracles = {name: _from_warehouse(select) for name, select in MARTS.items()}
+    oracles |= {f"stored_{name}": oracles[name] for name in MARTS}
     oracles |= {
         "src_json_records": _from_raw(f"select {RENAMED} from raw_sales"),
         "src_json_list": _from_raw(f"select {RENAMED} from raw_sales"),

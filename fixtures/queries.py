@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fixtures.adapter import ROW_KEYS
 from fixtures.warehouse import COLLECTION, SalesFixture, sales_fixture
 from quitanda.operators import cleaning, quality
+from quitanda.plans.lot_sums import mart_from_sums
 from quitanda.plans.marts import MARTS
 from quitanda.schema import (
     DEFAULT_TEXTS,
@@ -206,8 +207,13 @@ def _mart(name: str) -> Callable[[SalesFixture], DataFrame]:
     return query
 
 
+def _stored_mart(name: str) -> Callable[[SalesFixture], DataFrame]:
+    return lambda fixture: mart_from_sums(fixture.summed_by_lot, name)
+
+
 ON_FIXTURE: dict[str, Callable[[SalesFixture], DataFrame]] = {
     **{name: _mart(name) for name in MARTS},
+    **{f"stored_{name}": _stored_mart(name) for name in MARTS},
     "src_json_records": lambda fixture: _json_records(fixture.feed),
     "src_json_list": lambda fixture: _json_records(fixture.lists),
     "raw_scan_filter_project_sort_limit": _raw_scan,

@@ -17,6 +17,7 @@ from fixtures.adapter import raw_sales, write_feed, write_lists
 from quitanda.operators.cleaning import clean_records
 from quitanda.operators.fact import load_fact
 from quitanda.plans.batch import BatchConfig, run_batch
+from quitanda.plans.lot_sums import refresh_sums
 from quitanda.plans.populate import load_dimensions, populate
 from quitanda.settings import new_shared_path
 from quitanda.sources.landing import land_raw, scan_raw
@@ -113,6 +114,17 @@ class SalesFixture:
             load_fact(warehouse, batch.where(~early), "late", "overwrite", run)
         return warehouse
 
+    @cached_property
+    def summed_by_lot(self) -> Warehouse:
+        """Early sales summed up before the others are loaded, and one lot loaded twice."""
+        warehouse, batch = self._facts("sums"), self.staged.staging(COLLECTION)
+        early = F.coalesce(F.col("purchase_date") < F.lit(SECOND_BATCH_FROM), F.lit(False))
+        load_fact(warehouse, batch.where(early), COLLECTION, batch="early")
+        load_fact(warehouse, batch, COLLECTION, batch="late")
+        refresh_sums(warehouse)
+        load_fact(warehouse, batch.where(~early), COLLECTION, batch="late")
+        return warehouse
+
     @cached_property
     def run_from_feed(self) -> Warehouse:
         """A full batch run from the JSON feed."""

@@ -6,6 +6,9 @@ summed up in the tasks that read it. After the join the sums are added up once m
 the report's own columns. Reports by category join a product table that can be broadcast
 first, as there are far more products than categories: one row per product and task would
 come close to a shuffle of the fact.
+
+In place of the fact a report takes the stored sums of its lots (``plans/lot_sums.py``): these
+have the sums below as columns, and the first step adds them up instead of the sales.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from quitanda.functions.money import (
     total_cents,
 )
 from quitanda.operators.lookups import fits_broadcast
-from quitanda.schema import UNKNOWN_KEY
+from quitanda.schema import LOT_SUMS, UNKNOWN_KEY
 
 Dimensions = dict[str, DataFrame]
 
@@ -33,17 +36,35 @@ def sales() -> Column:
     return F.sum("sales")
 
 
-def totals() -> dict[str, Column]:
-    """Sums per dimension key that most reports need."""
+def sums_of_sales() -> dict[str, Column]:
+    """All sums of the sales of a key that reports are made of."""
     return {
         "sales": F.count(F.lit(1)),
+        "price": F.sum("preco_cents"),
         "total": F.sum(total_cents()),
         "totals": F.count(total_cents()),
+        "rating": F.sum("purchase_rating"),
+        "ratings": F.count("purchase_rating"),
+        "freight": F.sum("shipping_cost_cents"),
+        "freights": F.count("shipping_cost_cents"),
+        "lowest": F.min("shipping_cost_cents"),
+        "highest": F.max("shipping_cost_cents"),
     }
 
 
-def per_key(fact: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
-    return fact.groupBy(*keys).agg(*[column.alias(name) for name, column in sums.items()])
+def sums_of_sums() -> dict[str, Column]:
+    """The same from rows that hold such sums already."""
+    special = {"lowest": F.min("lowest"), "highest": F.max("highest")}
+    return {name: special.get(name, F.sum(name)) for name in LOT_SUMS}
+
+
+# Sums per dimension key that most reports need.
+TOTALS = ("sales", "total", "totals")
+
+
+def per_key(fact: DataFrame, keys: list[str], names: tuple[str, ...]) -> DataFrame:
+    sums = sums_of_sums() if set(LOT_SUMS) <= set(fact.columns) else sums_of_sales()
+    return fact.groupBy(*keys).agg(*[sums[name].alias(name) for name in names])
 
 
 def known(fact: DataFrame, key: str) -> DataFrame:
@@ -51,7 +72,7 @@ def known(fact: DataFrame, key: str) -> DataFrame:
 
 
 def per_category(
-    fact: DataFrame, dims: Dimensions, by: list[str], sums: dict[str, Column]
+    fact: DataFrame, dims: Dimensions, by: list[str], names: tuple[str, ...]
 ) -> DataFrame:
     """Sums per category and ``by``, to be added up once more.
 
@@ -60,13 +81,13 @@ def per_category(
     """
     products = dims["dim_produto"].select("sk_produto", "categoria")
     if fits_broadcast(products):
-        return per_key(fact.join(F.broadcast(products), "sk_produto"), ["categoria", *by], sums)
-    return per_key(fact, ["sk_produto", *by], sums).join(products, "sk_produto")
+        return per_key(fact.join(F.broadcast(products), "sk_produto"), ["categoria", *by], names)
+    return per_key(fact, ["sk_produto", *by], names).join(products, "sk_produto")
 
 
 def sales_by_category(fact: DataFrame, dims: Dimensions) -> DataFrame:
     return (
-        per_category(fact, dims, [], totals() | {"price": F.sum("preco_cents")})
+        per_category(fact, dims, [], (*TOTALS, "price"))
         .groupBy("categoria")
         .agg(
             sales().alias("total_transacoes_venda"),
@@ -80,7 +101,7 @@ def sales_by_category(fact: DataFrame, dims: Dimensions) -> DataFrame:
 
 def _sales_by_calendar(fact: DataFrame, dims: Dimensions, columns: list[str]) -> DataFrame:
     return (
-        per_key(fact, ["sk_tempo"], totals())
+        per_key(fact, ["sk_tempo"], TOTALS)
         .join(dims["dim_tempo"], "sk_tempo")
         .groupBy(*columns)
         .agg(
@@ -98,7 +119,7 @@ def monthly_sales(fact: DataFrame, dims: Dimensions) -> DataFrame:
 def top_sellers(fact: DataFrame, dims: Dimensions, k: int = 10) -> DataFrame:
     """The sellers with the highest totals; equal totals are ordered by name."""
     return (
-        per_key(known(fact, "sk_vendedor"), ["sk_vendedor"], totals())
+        per_key(known(fact, "sk_vendedor"), ["sk_vendedor"], TOTALS)
         .join(dims["dim_vendedor"], "sk_vendedor")
         .groupBy("nome_vendedor")
         .agg(
@@ -111,12 +132,8 @@ def top_sellers(fact: DataFrame, dims: Dimensions, k: int = 10) -> DataFrame:
 
 
 def sales_by_location(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    sums = totals() | {
-        "rating": F.sum("purchase_rating"),
-        "ratings": F.count("purchase_rating"),
-    }
     return (
-        per_key(known(fact, "sk_local"), ["sk_local"], sums)
+        per_key(known(fact, "sk_local"), ["sk_local"], (*TOTALS, "rating", "ratings"))
         .join(dims["dim_local"], "sk_local")
         .groupBy("uf")
         .agg(
@@ -131,7 +148,7 @@ def sales_by_location(fact: DataFrame, dims: Dimensions) -> DataFrame:
 def payment_distribution(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """No instalments and zero instalments are one group."""
     return (
-        per_key(known(fact, "sk_pagamento"), ["sk_pagamento"], totals())
+        per_key(known(fact, "sk_pagamento"), ["sk_pagamento"], TOTALS)
         .join(dims["dim_pagamento"], "sk_pagamento")
         .groupBy(
             "tipo_pagamento",
@@ -157,7 +174,7 @@ def quarterly_sales(fact: DataFrame, dims: Dimensions) -> DataFrame:
 def rating_by_category(fact: DataFrame, dims: Dimensions) -> DataFrame:
     rated = known(fact, "sk_produto").where(F.col("purchase_rating").isNotNull())
     return (
-        per_category(rated, dims, ["purchase_rating"], {"sales": F.count(F.lit(1))})
+        per_category(rated, dims, ["purchase_rating"], ("sales",))
         .groupBy("categoria", F.col("purchase_rating").alias("avaliacao_da_compra"))
         .agg(sales().alias("total_transacoes_com_esta_avaliacao"))
         .orderBy(
@@ -167,15 +184,10 @@ def rating_by_category(fact: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def freight_by_location(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    charged = known(fact, "sk_local").where(F.col("shipping_cost_cents").isNotNull())
-    sums = {
-        "freight": F.sum("shipping_cost_cents"),
-        "freights": F.count("shipping_cost_cents"),
-        "lowest": F.min("shipping_cost_cents"),
-        "highest": F.max("shipping_cost_cents"),
-    }
+    names = ("freight", "freights", "lowest", "highest")
     return (
-        per_key(charged, ["sk_local"], sums)
+        per_key(known(fact, "sk_local"), ["sk_local"], names)
+        .where(F.col("freights") > 0)
         .join(dims["dim_local"], "sk_local")
         .groupBy("uf")
         .agg(
@@ -190,7 +202,7 @@ def freight_by_location(fact: DataFrame, dims: Dimensions) -> DataFrame:
 
 def weekend_vs_weekday(fact: DataFrame, dims: Dimensions) -> DataFrame:
     return (
-        per_key(fact, ["sk_tempo"], totals())
+        per_key(fact, ["sk_tempo"], TOTALS)
         .join(dims["dim_tempo"], "sk_tempo")
         .groupBy(day_kind(F.col("data_completa")).alias("tipo_dia"))
         .agg(
@@ -205,7 +217,7 @@ def weekend_vs_weekday(fact: DataFrame, dims: Dimensions) -> DataFrame:
 def top_products(fact: DataFrame, dims: Dimensions, k: int = 5) -> DataFrame:
     """The products with the highest totals; equal totals are ordered by product."""
     return (
-        per_key(known(fact, "sk_produto"), ["sk_produto"], totals())
+        per_key(known(fact, "sk_produto"), ["sk_produto"], TOTALS)
         .join(dims["dim_produto"], "sk_produto")
         .groupBy("nome_produto", "categoria")
         .agg(
@@ -225,9 +237,9 @@ def seller_monthly(fact: DataFrame, dims: Dimensions) -> DataFrame:
     sold = known(fact, "sk_vendedor")
     if fits_broadcast(months):
         dated = sold.join(F.broadcast(months), "sk_tempo")
-        sums = per_key(dated, [*month_columns, "sk_vendedor"], totals())
+        sums = per_key(dated, [*month_columns, "sk_vendedor"], TOTALS)
     else:
-        sums = per_key(sold, ["sk_tempo", "sk_vendedor"], totals()).join(months, "sk_tempo")
+        sums = per_key(sold, ["sk_tempo", "sk_vendedor"], TOTALS).join(months, "sk_tempo")
     return (
         sums.join(dims["dim_vendedor"], "sk_vendedor")
         .groupBy(*month_columns, "nome_vendedor")

@@ -114,6 +114,29 @@ FACT_COLUMNS = (
     "sk_venda",
 )
 
+SUMS_TABLE = "soma_vendas"
+# What is kept of the sales of a key: see plans/marts.py for the sums of sales.
+LOT_SUMS = (
+    "sales",
+    "price",
+    "total",
+    "totals",
+    "rating",
+    "ratings",
+    "freight",
+    "freights",
+    "lowest",
+    "highest",
+)
+# Keys of each grain. A seller's sales are kept by day, for the report by seller and month.
+GRAINS = {
+    "produto": ("sk_produto", "purchase_rating"),
+    "vendedor": ("sk_vendedor", "sk_tempo"),
+    "tempo": ("sk_tempo",),
+    "local": ("sk_local",),
+    "pagamento": ("sk_pagamento",),
+}
+
 
 @dataclass(frozen=True)
 class ColumnSpec:
@@ -137,7 +160,7 @@ class TableSpec:
 
 _C = ColumnSpec
 
-# Tables in creation order: staging, dimensions, fact.
+# Tables in creation order: staging, dimensions, fact, sums of its lots.
 TABLES = (
     TableSpec(
         STAGING_TABLE,
@@ -237,11 +260,28 @@ TABLES = (
             _C("shipping_cost_cents", "int"),
             _C("purchase_rating", "int"),
             _C("etl_load_timestamp", "timestamp_ntz", True),
-            _C("sk_venda", "bigint", True, "Unique sale number; not dense."),
+            _C("sk_venda", "bigint", True, "Unique sale number; without gaps within a lot."),
             _C("collection", "string", True, "Landing collection the batch was read from."),
             _C("lote", "string", True, "Number before the batch's first sale, and its name."),
         ),
         partitioned_by=("collection", "lote"),
     ),
+    TableSpec(
+        SUMS_TABLE,
+        "Sums of the sales of each lot per key, in one grain per report family.",
+        (
+            _C("sk_produto", "int"),
+            _C("sk_vendedor", "int"),
+            _C("sk_local", "int"),
+            _C("sk_tempo", "int"),
+            _C("sk_pagamento", "int"),
+            _C("purchase_rating", "int"),
+            *[_C(name, "bigint") for name in LOT_SUMS],
+            _C("collection", "string", True, "Collection of the lot."),
+            _C("lote", "string", True, "Name of the lot."),
+            _C("grao", "string", True, "Grain: which of the keys are filled."),
+        ),
+        partitioned_by=("collection", "lote", "grao"),
+    ),
 )
 TABLES_BY_NAME = {table.name: table for table in TABLES}

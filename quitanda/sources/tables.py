@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from quitanda.schema import (
     FACT_COLUMNS,
     FACT_TABLE,
+    GRAINS,
     STAGING_COLUMNS,
     STAGING_TABLE,
     STAGING_TYPES,
+    SUMS_TABLE,
     TABLES,
     TABLES_BY_NAME,
     Dimension,
@@ -40,9 +42,17 @@ class Lot:
     def name(self) -> str:
         return f"{self.first_sale:019d}-{self.batch}"
 
+    @property
+    def columns(self) -> str:
+        return f"`collection` = {_quoted(self.collection)}, `lote` = {_quoted(self.name)}"
+
     @property
     def spec(self) -> str:
-        return f"PARTITION (`collection` = {_quoted(self.collection)}, `lote` = {_quoted(self.name)})"
+        return f"PARTITION ({self.columns})"
+
+    @property
+    def folder(self) -> str:
+        return f"collection={self.collection}/lote={self.name}"
 
     @classmethod
     def read(cls, folder: str) -> Lot:
@@ -78,10 +88,12 @@ class Warehouse:
         """Sales of all lots, without the columns that tell lots apart."""
         return self.read(FACT_TABLE).select(*FACT_COLUMNS)
 
+    def partitions(self, table: str) -> list[str]:
+        """Names of a table's partitions, from the catalog alone."""
+        return [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
+
     def fact_lots(self) -> list[Lot]:
-        """The lots of the fact, from the catalog alone."""
-        rows = self.spark.sql(f"SHOW PARTITIONS {self.name(FACT_TABLE)}").collect()
-        return [Lot.read(row[0]) for row in rows]
+        return [Lot.read(folder) for folder in self.partitions(FACT_TABLE)]
 
     def fact_lot(self, lot: Lot) -> DataFrame:
         """Sales of one lot; the filter leaves only its folder to read."""
@@ -173,9 +185,13 @@ def append_rows(warehouse: Warehouse, table: str, rows: DataFrame) -> None:
 
 
 def write_lot(warehouse: Warehouse, lot: Lot, rows: DataFrame) -> None:
-    """Write one lot of the fact; files of an earlier attempt at it go, other lots stay."""
+    """Write one lot of the fact; files of an earlier attempt at it go, other lots stay.
+
+    Stored sums of an earlier attempt go first, so none can outlive the sales they sum up.
+    """
     if not re.fullmatch(r"\w+", lot.collection) or not re.fullmatch(r"\w+", lot.batch):
         raise ValueError("collections and batches are named by letters, digits and underscores")
+    drop_sums(warehouse, [lot])
     view = f"lot_{uuid.uuid4().hex}"
     rows.createOrReplaceTempView(view)
     try:
@@ -187,13 +203,26 @@ def write_lot(warehouse: Warehouse, lot: Lot, rows: DataFrame) -> None:
 
 
 def drop_lots(warehouse: Warehouse, lots: Sequence[Lot]) -> None:
-    """Take lots out of the fact, then remove their files."""
+    """Take lots and their stored sums out of the warehouse, then remove their files."""
+    drop_sums(warehouse, lots)
     for lot in lots:
-        warehouse.spark.sql(
-            f"ALTER TABLE {warehouse.name(FACT_TABLE)} DROP IF EXISTS {lot.spec}"
-        )
-        folder = f"collection={lot.collection}/lote={lot.name}"
-        remove_path(warehouse.spark, f"{warehouse.location}/{FACT_TABLE}/{folder}")
+        _drop_folder(warehouse, FACT_TABLE, lot, [lot.spec])
+
+
+def drop_sums(warehouse: Warehouse, lots: Sequence[Lot]) -> None:
+    """Take the stored sums of lots out, whether or not there are any.
+
+    Each grain is named, as a partition is only dropped by all of its columns.
+    """
+    for lot in lots:
+        specs = [f"PARTITION ({lot.columns}, `grao` = {_quoted(grain)})" for grain in GRAINS]
+        _drop_folder(warehouse, SUMS_TABLE, lot, specs)
+
+
+def _drop_folder(warehouse: Warehouse, table: str, lot: Lot, specs: Sequence[str]) -> None:
+    dropped = ", ".join(specs)
+    warehouse.spark.sql(f"ALTER TABLE {warehouse.name(table)} DROP IF EXISTS {dropped}")
+    remove_path(warehouse.spark, f"{warehouse.location}/{table}/{lot.folder}")
 
 
 def aligned_rows(table: str, rows: DataFrame) -> DataFrame:
