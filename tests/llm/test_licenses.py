@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
-from quitanda.llm.licenses import TEMPLATES, differences, scan_licenses
+from quitanda.llm.licenses import TEMPLATES, Explainer, differences, scan_licenses, words_of
 from tests.llm.helpers import ODD_TEXTS, clashing, docs_table
 
 
@@ -60,3 +62,34 @@ def test_every_notice_is_found_over_line_breaks(spark):
     long = " ".join(f"w{i}" for i in range(300)) + " license"
     rows = scan_licenses(docs_table(spark, ["x " * 250 + long]), {"Long": long}).collect()
     assert [(r.license, r.exact) for r in rows] == [("Long", True)]
+
+
+def test_the_template_that_explains_most_of_a_block_wins(spark):
+    words = "this text may be used by anyone under the incomprehensibilities of our license"
+    templates = {
+        "few words differ": words.replace("incomprehensibilities ", ""),
+        "few bytes differ": words.replace("may be ", ""),
+    }
+    rows = scan_licenses(docs_table(spark, [words]), templates).collect()
+    assert [(r.license, r.changes) for r in rows] == [("few bytes differ", ["+may", "+be"])]
+
+
+def test_nothing_is_confirmed_that_saves_nothing():
+    explainer = Explainer(TEMPLATES)
+    words = words_of(TEMPLATES["MIT"])
+    assert [name for _, name, _ in explainer.notices(words, 0, len(words), lambda a, b: True)] == ["MIT"]
+    explainer._reductions.ranked = lambda block: [(0, 0.0, name) for name in TEMPLATES]
+    assert list(explainer.notices(words, 0, len(words), lambda a, b: True)) == []
+
+
+def test_every_notice_saves_enough_in_any_block():
+    explainer, rng = Explainer(TEMPLATES), random.Random(5)
+    for _ in range(20):
+        words, expected = [], []
+        for name in rng.sample(list(TEMPLATES), len(TEMPLATES)):
+            words += [f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, 70))]
+            notice = words_of(TEMPLATES[name])
+            expected.append((0, len(words), len(words) + len(notice), name))
+            words += notice
+        found = explainer.notices(words, 0, len(words), lambda a, b: True)
+        assert [(*match[:3], name) for match, name, _ in found] == expected
