@@ -1,14 +1,15 @@
 """Documents linked by the Jaccard similarity of their word shingles.
 
 Texts with one set of shingles are one class. Classes that may be similar meet in an inverted
-index of their prefixes: a class's shingles in a global order, rare ones first. The prefixes
-are extended until similar classes share a number of shingles in them that grows with their
-size, two at least. A rare shingle is indexed by itself; frequent ones, which would bring
-everything together, by combinations of two. A class that shares fewer of its prefix than it
-must is similar to none and leaves. Of the sets that are left the shingles are counted one by
-one, and their plain prefixes indexed again in the exact order, which brings next to nothing
-together but what is similar; that is verified on the whole sets. Any one order of the shingles
-finds every link, so which are taken for frequent changes the work and not the result.
+index of their prefixes: a class's shingles in the order of their hashes. The prefixes are
+extended until similar classes share a number of shingles in them that grows with their size,
+two at least. Frequent shingles, which would bring everything together, count as shared there; a
+class that shares fewer of its prefix than it must is similar to none and leaves. Of the sets
+that are left the shingles are counted one by one, and their plain prefixes indexed again in the
+exact order, rare ones first: a rare shingle by itself, frequent ones by combinations of two.
+This brings next to nothing together but what is similar; that is verified on the whole sets. Any
+one order of the shingles finds every link, so which are taken for frequent changes the work and
+not the result. They are counted over all documents, in the pass that makes the prefixes.
 """
 
 from __future__ import annotations
@@ -25,13 +26,16 @@ from pyspark.sql.window import Window
 from quitanda.llm.common import discard, map_batches, map_rows, release_shuffles, written
 from quitanda.llm.components import components
 
-# A shingle is frequent if it makes up this share of all shingles, so no more than the
-# reciprocal of it can be.
+# A shingle is frequent if it makes up this share of all shingles.
 FREQUENT_SHARE = 2.0**-16
-_SUMMARY = 1 << 16
 
-# Documents, about, whose shingles tell which are frequent. They are only an order.
-SAMPLED_ROWS = 20_000
+# Hashes that a task counts at once, and the share of its shingles by which its counts are too low
+# at most. So every frequent shingle is found, and none of less than half the share is taken.
+_SUMMARY = 1 << 18
+_MISSED_SHIFT = 17
+
+# Rows of the first pass: a document, what a task has counted in all, a shingle's count.
+_DOCUMENT, _TOTAL, _COUNT = 0, 1, 2
 
 # Frequent shingles of larger sets are indexed alone: their combinations would outgrow them.
 COMBINED_SIZE = 256
@@ -100,12 +104,14 @@ class Summary:
 
     def __init__(self):
         self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.total, self.missed = 0, 0
         self._waiting: list[np.ndarray] = []
         self._size = 0
 
     def add(self, hashes: np.ndarray) -> None:
         self._waiting.append(hashes)
         self._size += len(hashes)
+        self.total += len(hashes)
         if self._size > 1 << 20:
             self.merge()
 
@@ -114,13 +120,23 @@ class Summary:
         hashes, counts = np.unique(waiting, return_counts=True)
         self._waiting, self._size = [], 0
         both = np.concatenate([self.hashes, hashes])
-        self.hashes, where = np.unique(both, return_inverse=True)
-        self.counts = np.bincount(where, np.concatenate([self.counts, counts]), len(self.hashes))
-        self.counts = self.counts.astype(np.int64)
+        order = np.argsort(both, kind="stable")
+        both, counts = both[order], np.concatenate([self.counts, counts])[order]
+        first = np.flatnonzero(np.diff(both, prepend=~both[:1]))
+        self.hashes = both[first]
+        self.counts = np.add.reduceat(counts, first) if len(first) else counts
         if len(self.counts) > _SUMMARY:
-            self.counts = self.counts - np.partition(self.counts, -_SUMMARY - 1)[-_SUMMARY - 1]
-            kept = self.counts > 0
-            self.hashes, self.counts = self.hashes[kept], self.counts[kept]
+            self._lower(int(np.partition(self.counts, -_SUMMARY - 1)[-_SUMMARY - 1]))
+
+    def _lower(self, by: int) -> None:
+        self.missed += by
+        kept = self.counts > by
+        self.hashes, self.counts = self.hashes[kept], self.counts[kept] - by
+
+    def shorten(self, shift: int) -> None:
+        """Leave out what is rare, so that no count is too low by more than 2 ^ -shift of all."""
+        self.merge()
+        self._lower(max(0, (self.total >> shift) - self.missed))
 
 
 def number_of(cls: bytes) -> int:
@@ -128,101 +144,45 @@ def number_of(cls: bytes) -> int:
     return int.from_bytes(cls[:8], "little", signed=True)
 
 
-def frequent_shingles(docs: DataFrame, width: int, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles by hash, sorted, and the rank of each, rarest first.
-
-    They come from about ``SAMPLED_ROWS`` documents of the whole input. They decide the order
-    in which shingles are indexed; no document, shingle or link depends on being sampled.
-    """
-    share = min(1.0, SAMPLED_ROWS / max(docs.count(), 1))
-
-    def start():
-        shingler, summary = Shingler(width), Summary()
-        total = 0
-
-        def rows(texts):
-            nonlocal total
-            for body in texts:
-                shingles = shingler(body)
-                total += len(shingles)
-                summary.add(shingles)
-            return []
-
-        def rest():
-            summary.merge()
-            hashes = summary.hashes.view(np.int64).tolist()
-            return [(None, total), *zip(hashes, summary.counts.tolist())]
-
-        rows.rest = rest
-        return rows
-
-    sample = docs.select(F.col(text).alias("t")).sample(fraction=share, seed=7)
-    counts = map_batches(sample, start, "hash bigint, n bigint").groupBy("hash").agg(
-        F.sum("n").alias("n")
-    )
-    counts = written(counts, "jaccard-sample")
-    total = counts.where("hash is null").agg(F.sum("n")).first()[0] or 0
-    limit = max(2, int(total * FREQUENT_SHARE) + 1)
-    found = counts.where((F.col("n") >= limit) & F.col("hash").isNotNull()).toPandas()
-    discard(counts)
-    hashes = found["hash"].to_numpy(np.int64).view(np.uint64)
-    by_hash = np.argsort(hashes)
-    hashes, often = hashes[by_hash], found["n"].to_numpy(np.int64)[by_hash]
-    order = np.empty(len(hashes), np.int64)
-    order[np.lexsort((hashes, often))] = np.arange(len(hashes))
-    return hashes, order
-
-
 def least_overlap(n: int, num: int, den: int) -> int:
     """Shingles that a set of ``n`` has in common with any set it is linked to, at least."""
     return -(-n * num // den)
 
 
 def shared_in_prefix(n: int, num: int, den: int) -> int:
-    """Shingles of its extended prefix that a set of ``n`` is made to share: half the plain one."""
+    """Shingles of its extended prefix that a set of ``n`` is made to share: as many as the plain one."""
     overlap = least_overlap(n, num, den)
-    return min(overlap, max(2, (n - overlap + 2) // 2))
+    return min(overlap, max(2, n - overlap + 1))
 
 
-def signatures(
-    shingles: np.ndarray, frequent: np.ndarray, order: np.ndarray, num: int, den: int
-) -> tuple[np.ndarray, int]:
-    """Rare shingles of a set's extended prefix, and how many of them it must share.
+def signatures(shingles: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """A set's extended prefix in the order of hashes, and how many of it the set must share.
 
-    ``frequent`` is sorted; ``order`` ranks it, rarest first. Of two similar sets the one whose
-    prefix ends first has all of its share within the other's prefix, so both have in common
-    the share of the smaller set, which has ``least_overlap`` shingles or more.
+    Of two similar sets the one whose prefix ends first has all of its share within the other's
+    prefix, so both have in common the share of the smaller set, which has ``least_overlap``
+    shingles or more.
     """
     n = len(shingles)
     overlap = least_overlap(n, num, den)
     prefix = n - overlap + shared_in_prefix(n, num, den)
-    at = np.searchsorted(frequent, shingles)
-    at[at == len(frequent)] = 0
-    often = frequent[at] == shingles if len(frequent) else np.zeros(n, bool)
-    rare = shingles[~often][:prefix]
-    common = at[often]
-    common = frequent[common[np.argsort(order[common])][: prefix - len(rare)]]
-    need = shared_in_prefix(overlap, num, den) - len(common)
-    return rare, need
+    return shingles[:prefix], shared_in_prefix(overlap, num, den)
 
 
 def members_and_prefixes(
-    docs: DataFrame,
-    frequent: tuple[np.ndarray, np.ndarray],
-    width: int,
-    num: int,
-    den: int,
-    key: str,
-    text: str,
+    docs: DataFrame, width: int, num: int, den: int, key: str, text: str
 ) -> DataFrame:
-    """A row (k, n, cls, id, need, sigs) for each document: its set's size and class, the rare
+    """A row (k, n, cls, id, need, sigs) for each document: its set's size and class, the
     shingles of its prefix and how many of them it must share. ``sigs`` is null for a class
-    that the task has lately seen, so copies add little."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    that the task has lately seen, so copies add little.
+
+    ``part`` tells these rows from the task's counts of the shingles of all sets it has seen, which
+    come after them: the shingles counted (n) and by how much a count may be too low (id), then
+    the count (n) of a shingle (id) each.
+    """
     kind = dict(docs.dtypes)[key]
 
     def start():
-        shingler, seen = Shingler(width), set()
+        shingler, seen, summary = Shingler(width), set(), Summary()
 
         def rows(keys, texts):
             found = []
@@ -230,47 +190,79 @@ def members_and_prefixes(
                 shingles = shingler(body)
                 cls = class_of(shingles)
                 if cls is None or cls in seen:
-                    found.append((k, len(shingles), cls, None, None, None))
+                    found.append((k, len(shingles), cls, None, None, None, _DOCUMENT))
                     continue
                 if len(seen) > _CACHED_CLASSES:
                     seen.clear()
                 seen.add(cls)
-                rare, need = signatures(shingles, *shared.value, num, den)
-                found.append((k, len(shingles), cls, number_of(cls), need, rare.view(np.int64)))
+                summary.add(shingles)
+                sigs, need = signatures(shingles, num, den)
+                sigs = sigs.view(np.int64)
+                found.append((k, len(shingles), cls, number_of(cls), need, sigs, _DOCUMENT))
             return found
 
+        def rest():
+            summary.shorten(_MISSED_SHIFT)
+            counts = zip(summary.hashes.view(np.int64).tolist(), summary.counts.tolist())
+            total = (None, summary.total, None, summary.missed, None, None, _TOTAL)
+            return [total, *((None, n, None, shingle, None, None, _COUNT) for shingle, n in counts)]
+
+        rows.rest = rest
         return rows
 
     return map_batches(
         docs.select(F.col(key).alias("k"), F.col(text).alias("t")),
         start,
-        f"k {kind}, n bigint, cls binary, id bigint, need int, sigs array<bigint>",
+        f"k {kind}, n bigint, cls binary, id bigint, need int, sigs array<bigint>, part int",
     )
 
 
+def frequent_shingles(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles by hash, sorted, and the rank of each, rarest first.
+
+    They come from the counts among ``members_and_prefixes``, which all tasks made of all sets, and
+    decide only the order in which shingles are indexed.
+    """
+    totals = found.where(F.col("part") == _TOTAL)
+    total, missed = totals.agg(F.sum("n"), F.sum("id")).first()
+    limit = max(2, int((total or 0) * FREQUENT_SHARE) + 1 - (missed or 0))
+    counts = found.where(F.col("part") == _COUNT).groupBy(F.col("id").alias("hash"))
+    found = counts.agg(F.sum("n").alias("n")).where(F.col("n") >= limit).toPandas()
+    hashes = found["hash"].to_numpy(np.int64).view(np.uint64)
+    by_hash = np.argsort(hashes)
+    hashes, often = hashes[by_hash], found["n"].to_numpy(np.int64)[by_hash]
+    order = np.empty(len(hashes), np.int64)
+    order[np.lexsort((hashes, often))] = np.arange(len(hashes))
+    return hashes, order
+
+
 def _in_several(entries: DataFrame) -> DataFrame:
     """Index entries whose shingles at least two classes have."""
     spans = entries.groupBy("sig").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
     return entries.join(spans.where("low <> high").select("sig"), "sig")
 
 
-def candidate_classes(prefixes: DataFrame) -> DataFrame:
+def candidate_classes(prefixes: DataFrame, frequent: np.ndarray) -> DataFrame:
     """Classes (id) that share enough of their prefix with others to be similar to one.
 
-    Most rare shingles are in one class only and go in the one shuffle by shingle. A class
-    whose frequent shingles alone could make up what it must share passes without one.
+    Most shingles are in one class only and go in the one shuffle by shingle. Frequent ones count
+    as shared without being looked up, and are dealt out by class.
     """
-    entries = prefixes.where("need > 0").select(F.explode("sigs").alias("sig"), "id", "need")
-    same = Window.partitionBy("sig")
-    several = F.min("id").over(same) != F.max("id").over(same)
-    shared = entries.withColumn("several", several).where("several")
-    enough = (
+    known = prefixes.sparkSession.createDataFrame(
+        [(value,) for value in frequent.view(np.int64).tolist()], "sig bigint"
+    ).withColumn("often", F.lit(True))
+    entries = prefixes.select(F.explode("sigs").alias("sig"), "id", "need")
+    entries = entries.join(F.broadcast(known), "sig", "left")
+    spread = F.when(F.col("often"), F.col("id")).otherwise(F.lit(0))
+    same = Window.partitionBy("sig", "spread")
+    several = F.col("often").isNotNull() | (F.min("id").over(same) != F.max("id").over(same))
+    shared = entries.withColumn("spread", spread).withColumn("several", several).where("several")
+    return (
         shared.groupBy("id")
         .agg(F.count_distinct("sig").alias("shares"), F.first("need").alias("need"))
         .where("shares >= need")
         .select("id")
     )
-    return enough.union(prefixes.where("need <= 0").select("id").distinct())
 
 
 def exact_entries(
@@ -524,11 +516,13 @@ def jaccard_components(
     Copies meet as one class, so a group of them costs no pairs.
     """
     spark = docs.sparkSession
-    frequent = frequent_shingles(docs, width, text)
-    found = members_and_prefixes(docs, frequent, width, num, den, key, text)
+    found = members_and_prefixes(docs, width, num, den, key, text)
     found = written(found, "jaccard-prefixes")
-    classes = written(candidate_classes(found.where("sigs is not null")), "jaccard-candidates")
-    members = written(found.select(F.col("k").alias(key), "n", "cls"), "jaccard-members")
+    frequent = frequent_shingles(found)
+    prefixes = found.where("sigs is not null")
+    classes = written(candidate_classes(prefixes, frequent[0]), "jaccard-candidates")
+    members = found.where(F.col("part") == _DOCUMENT).select(F.col("k").alias(key), "n", "cls")
+    members = written(members, "jaccard-members")
     discard(found)
     release_shuffles(spark)
     sets = written(class_sets(docs, classes, width, text), "jaccard-sets")

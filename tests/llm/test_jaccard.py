@@ -101,3 +101,46 @@ def test_components_of_chains_stars_and_loops(spark):
     roots = {r.node: r.root for r in found.collect()}
     assert roots == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 120)}, 51: 50}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_frequent_shingles_are_counted_over_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(J, "FREQUENT_SHARE", 1e-3)
+    texts = [f"a{i} b{i} c{i}" if i % 20 else f"a{i} said and done" for i in range(1000)]
+    docs = docs_table(spark, texts)
+    found = J.members_and_prefixes(docs.repartition(3), 3, 90, 100, "doc_id", "text")
+    hashes, order = J.frequent_shingles(found)
+    assert hashes.tolist() == J.Shingler(3)("said and done").tolist()
+    assert order.tolist() == [0]
+
+
+def test_counts_are_too_low_by_a_bounded_share(monkeypatch):
+    monkeypatch.setattr(J, "_SUMMARY", 64)
+    rng, summary, true = random.Random(13), J.Summary(), {}
+    for _ in range(40):
+        part = [rng.choice([1, 2, 3]) if rng.random() < 0.3 else rng.randint(4, 10**6) for _ in range(200)]
+        summary.add(np.array(part, np.uint64))
+        summary.merge()
+        for h in part:
+            true[h] = true.get(h, 0) + 1
+    summary.shorten(5)
+    assert summary.total == 8_000 and summary.missed <= 8_000 >> 5
+    found = dict(zip(summary.hashes.tolist(), summary.counts.tolist()))
+    assert set(found) == {1, 2, 3}
+    assert all(true[h] - summary.missed <= n <= true[h] for h, n in found.items())
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_similar_sets_share_enough_of_their_prefixes(num):
+    rng = random.Random(14)
+    for _ in range(300):
+        n = rng.randint(1, 300)
+        a = np.unique(np.array([rng.getrandbits(64) for _ in range(n)], np.uint64))
+        kept = rng.sample(a.tolist(), J.least_overlap(len(a), num, 100))
+        room = len(kept) * 100 // num - len(a)
+        more = [rng.getrandbits(64) for _ in range(rng.randint(0, max(0, room)))]
+        b = np.unique(np.array(kept + more, np.uint64))
+        both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        if 100 * both < num * either:
+            continue
+        (x, need_x), (y, need_y) = J.signatures(a, num, 100), J.signatures(b, num, 100)
+        assert len(np.intersect1d(x, y)) >= max(need_x, need_y)
