@@ -172,57 +172,59 @@ def shared_backoff(grams: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class EvidenceModel:
-    """Log-likelihood ratios as whole tables (hash, ratio), looked up by joins.
+    """Log-likelihood ratios as a whole table (gram, context, ratio, spare), looked up by shuffles.
 
-    ``grams`` has every counted expression, ``contexts`` every counted context, for what comes
-    next there unseen. ``tables`` are the written ones behind both.
+    It has every counted expression; ``spare`` is the ratio of its context, for what comes next
+    there unseen.
     """
 
-    grams: DataFrame
-    contexts: DataFrame
-    tables: tuple[DataFrame, ...] = ()
+    ratios: DataFrame
 
     def ratios_of(self, wanted: DataFrame) -> DataFrame:
-        """Rows (block, gram, ratio) for those of (block, gram, context) that have evidence."""
-        grams = self.grams.select(F.col("hash").alias("gram"), F.col("ratio").alias("seen"))
-        contexts = self.contexts.select(F.col("hash").alias("context"), F.col("ratio").alias("spare"))
-        found = wanted.join(grams, "gram", "left").join(contexts, "context", "left")
-        ratio = F.coalesce("seen", "spare")
-        return found.where(ratio.isNotNull()).select("block", "gram", ratio.alias("ratio"))
+        """Rows (block, gram, ratio) for all of (block, gram, context); without evidence 0.
+
+        An expression lies with its context, so one shuffle by context finds both.
+        """
+        rows = self.ratios.unionByName(wanted, allowMissingColumns=True)
+        before = Window.partitionBy("context")
+        rows = rows.withColumn("spare", F.max("spare").over(before))
+        same = Window.partitionBy("context", "gram")
+        rows = rows.withColumn("ratio", F.max("ratio").over(same))
+        ratio = F.coalesce("ratio", "spare", F.lit(0.0))
+        return rows.where("block IS NOT NULL").select("block", "gram", ratio.alias("ratio"))
 
     def evidence(self, words: Sequence[str]) -> np.ndarray:
         """Toxic minus ordinary log-likelihood of each word, for a few words at the driver."""
         grams, contexts = distinct_grams(words)
         rows = [(0, *pair) for pair in zip(grams.tolist(), contexts.tolist())]
-        spark = self.grams.sparkSession
+        spark = self.ratios.sparkSession
         wanted = spark.createDataFrame(rows, "block bigint, gram bigint, context bigint")
-        found = self.ratios_of(wanted).collect()
-        return evidence_of(words, [row.gram for row in found], [row.ratio for row in found])
+        found = self.ratios_of(wanted).orderBy("gram").collect()
+        return evidence_of(words, [row.ratio for row in found])
 
 
 def distinct_grams(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct expressions of ORDER characters in words, and of their contexts."""
-    grams, contexts = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    grams, contexts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for at in range(0, len(words), _WORDS_AT_ONCE):
         _, found, before = grams_of(words[at : at + _WORDS_AT_ONCE])
-        grams, first = np.unique(np.concatenate([grams, found[-1]]), return_index=True)
-        contexts = np.concatenate([contexts, before[-1]])[first]
-    return grams.view(np.int64), contexts.view(np.int64)
-
-
-def evidence_of(words: Sequence[str], grams: Sequence[int], ratios: Sequence[float]) -> np.ndarray:
-    """Sums of the ratios of each word's expressions; those not in ``grams`` have none."""
-    hashes = np.array(grams, np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    hashes, values = hashes[order], np.array(ratios, float)[order]
-    found = [np.zeros(0)]
-    for start in range(0, len(words) if len(hashes) else 0, _WORDS_AT_ONCE):
-        part = words[start : start + _WORDS_AT_ONCE]
-        owner, wanted, _ = grams_of(part)
-        at = np.minimum(np.searchsorted(hashes, wanted[-1]), len(hashes) - 1)
-        value = np.where(hashes[at] == wanted[-1], values[at], 0.0)
-        found.append(np.bincount(owner, value, len(part)))
-    return np.concatenate(found) if len(hashes) else np.zeros(len(words))
+        grams, first = np.unique(
+            np.concatenate([grams, found[-1].view(np.int64)]), return_index=True
+        )
+        contexts = np.concatenate([contexts, before[-1].view(np.int64)])[first]
+    return grams, contexts
+
+
+def evidence_of(words: Sequence[str], ratios: Sequence[float]) -> np.ndarray:
+    """Sums of the ratios of each word's expressions; ``ratios`` are in the order of their hashes."""
+    owners, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for start in range(0, len(words), _WORDS_AT_ONCE):
+        owner, grams, _ = grams_of(words[start : start + _WORDS_AT_ONCE])
+        owners.append(owner + start)
+        hashes.append(grams[-1].view(np.int64))
+    _, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    values = np.array(ratios, float)[which]
+    return np.bincount(np.concatenate(owners), values, len(words)).astype(float)
 
 
 def train_evidence(labelled: DataFrame) -> EvidenceModel:
@@ -245,18 +247,14 @@ def evidence_from(words: DataFrame) -> EvidenceModel:
         logs.append(F.log(direct + left * F.col("p")))
         spare.append(F.log(left))
     rows = rows.select(
-        f"g{ORDER}",
-        context,
+        F.col(f"g{ORDER}").alias("gram"),
+        F.col(context).alias("context"),
         (logs[0] - logs[1]).alias("ratio"),
         (spare[0] - spare[1]).alias("spare"),
     )
     rows = written(rows, "toxicity-ratios")
-    contexts = rows.groupBy(F.col(context).alias("hash")).agg(F.first("spare").alias("ratio"))
-    contexts = written(contexts, "toxicity-contexts")
     discard(grams)
-    return EvidenceModel(
-        rows.select(F.col(f"g{ORDER}").alias("hash"), "ratio"), contexts, (rows, contexts)
-    )
+    return EvidenceModel(rows)
 
 
 def features_of(evidence: np.ndarray, lengths: np.ndarray) -> tuple[float, ...]:
@@ -354,12 +352,13 @@ def _with_features(
     finish: Callable[[tuple[float, ...]], tuple],
     name: str,
     kind: str,
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, list[DataFrame]]:
     """The columns in ``keep`` and what ``finish`` makes of a text's features, per input row; and
-    the written table that these are read from.
+    the written tables that these are read from.
 
-    The distinct expressions of each block are joined with the model's tables. What is found
-    meets the block's texts, which are kept and shuffled as word numbers only.
+    The distinct expressions of each block are looked up in the model's table. What is found is
+    written, so that nothing of the search is left on the disks when it meets the block's texts,
+    which are kept and shuffled as word numbers only.
     """
     kept = list(keep)
     blocks = written(_blocks(docs, text, kept), "toxicity-blocks")
@@ -375,31 +374,29 @@ def _with_features(
         dictionaries, expressions, "block bigint, grams array<bigint>, contexts array<bigint>"
     ).select("block", F.inline(F.arrays_zip("grams", "contexts")).alias("gram", "context"))
     found = model.ratios_of(wanted).groupBy("block")
-    found = found.agg(F.collect_list(F.struct("gram", "ratio")).alias("found"))
+    found = found.agg(F.sort_array(F.collect_list(F.struct("gram", "ratio"))).alias("found"))
     found = found.select(
-        "block",
-        F.lit(_RATIOS).alias("kind"),
-        F.col("found.gram").alias("grams"),
-        F.col("found.ratio").alias("ratios"),
+        "block", F.lit(_RATIOS).alias("kind"), F.col("found.ratio").alias("ratios")
     )
+    found = written(found, "toxicity-found")
     together = found.unionByName(blocks, allowMissingColumns=True)
-    columns = ["block", "kind", "packed", "grams", "ratios", *[f"k{i}" for i in range(len(kept))]]
+    columns = ["block", "kind", "packed", "ratios", *[f"k{i}" for i in range(len(kept))]]
     together = together.select(*columns).repartition("block").sortWithinPartitions("block", "kind")
 
     def start():
-        at, known, evidence, lengths = None, ([], []), np.zeros(0), np.zeros(0, np.int64)
+        at, known, evidence, lengths = None, [], np.zeros(0), np.zeros(0, np.int64)
 
-        def rows(block, kind, packed, grams, ratios, *columns):
+        def rows(block, kind, packed, ratios, *columns):
             nonlocal at, known, evidence, lengths
             out = []
-            for b, k, p, g, r, *values in zip(block, kind, packed, grams, ratios, *columns):
+            for b, k, p, r, *values in zip(block, kind, packed, ratios, *columns):
                 if b != at:
-                    at, known = b, ([], [])
+                    at, known = b, []
                 if k == _RATIOS:
-                    known = g, r
+                    known = r
                 elif k == _DICTIONARY:
                     words = _words(p)
-                    evidence = evidence_of(words, *known)
+                    evidence = evidence_of(words, known)
                     lengths = np.fromiter(map(len, words), np.int64, len(words))
                 else:
                     bag = _bag(p)
@@ -411,7 +408,7 @@ def _with_features(
     kinds = dict(docs.dtypes)
     names = [f"k{i} {kinds[column]}" for i, column in enumerate(kept)]
     mapped = map_batches(together, start, ", ".join([*names, f"n0 {kind}"]))
-    return mapped.toDF(*kept, name), blocks
+    return mapped.toDF(*kept, name), [blocks, found]
 
 
 def fit_logistic(rows: np.ndarray, labels: np.ndarray, steps: int = 60) -> tuple[float, ...]:
@@ -465,7 +462,7 @@ def train(
     )
     calibrating = texts.where(fold == CALIBRATION).join(F.broadcast(few), "doc_id")
     partial = evidence_from(words.where(~F.col("reserved")))
-    sample, blocks = _with_features(
+    sample, tables = _with_features(
         calibrating,
         partial,
         "text",
@@ -475,7 +472,7 @@ def train(
         "array<double>",
     )
     sample = sample.limit(2 * calibration_rows).collect()
-    discard(blocks, *partial.tables)
+    discard(*tables, partial.ratios)
     rows = np.array([row.x for row in sample], float).reshape(-1, N_FEATURES)
     weights = fit_logistic(rows, np.array([row.toxic > 0 for row in sample], float))
     evidence = evidence_from(words)
@@ -493,7 +490,7 @@ def score(
     """The columns in ``keep`` and the score ``name`` (0 to 1, higher: likelier toxic), per input row.
 
     A null or empty text has no words and gets the score of no evidence. Repeated rows get
-    equal scores; other columns are not read. The model is joined with the distinct
+    equal scores; other columns are not read. The model is shuffled with the distinct
     expressions of the texts, whatever its size; texts are shuffled as word numbers.
     """
     # What training shuffled is in the model's tables by now.

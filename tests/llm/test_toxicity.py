@@ -171,6 +171,27 @@ def test_labels_of_the_calibration_fold_are_counted(spark, calibration_rows):
     assert only_there > 3 and only_there > nowhere + 3
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    import os
+    import time
+
+    from quitanda.llm.common import written
+
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [folder.toString() for folder in manager.localDirs()]
+
+    def shuffled():
+        found = (file for folder in folders for *_, files in os.walk(folder) for file in files)
+        return {file for file in found if file.startswith("shuffle_")}
+
+    before, frame = shuffled(), spark.range(5000).groupBy((F.col("id") % 1000).alias("k")).count()
+    assert written(frame, "test").count() == 1000
+    until = time.time() + 20
+    while (left := {f for f in shuffled() - before if f.endswith(".data")}) and time.time() < until:
+        time.sleep(0.2)
+    assert len(left) <= 1  # of the count above
+
+
 def test_the_label_filter_loses_no_labelled_text(spark):
     from quitanda.llm.common import likely_rows
 
