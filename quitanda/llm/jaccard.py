@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,13 +30,17 @@ from quitanda.llm.components import components
 # A shingle is frequent if it makes up this share of all shingles.
 FREQUENT_SHARE = 2.0**-16
 
-# Hashes that a task counts at once, and the share of its shingles by which its counts are too low
-# at most. So every frequent shingle is found, and none of less than half the share is taken.
+# Hashes that are counted at once, and the share of its shingles by which a task's counts are too low
+# at most; adding them up misses as much again. So every frequent shingle is found, and none of less
+# than half the share is taken.
 _SUMMARY = 1 << 18
-_MISSED_SHIFT = 17
+_MISSED_SHIFT = 18
 
-# Rows of the first pass: a document, what a task has counted in all, a shingle's count.
-_DOCUMENT, _TOTAL, _COUNT = 0, 1, 2
+# Summaries of tasks that are added up at once.
+_SUMMARIES = 16
+
+# Rows of the first pass: a document, and what a task has counted.
+_DOCUMENT, _COUNTED = 0, 1
 
 # Frequent shingles of larger sets are indexed alone: their combinations would outgrow them.
 COMBINED_SIZE = 256
@@ -119,6 +124,15 @@ class Summary:
         waiting = np.concatenate([*self._waiting, self.hashes[:0]])
         hashes, counts = np.unique(waiting, return_counts=True)
         self._waiting, self._size = [], 0
+        self._join(hashes, counts)
+
+    def add_summary(self, total: int, missed: int, hashes: np.ndarray, counts: np.ndarray) -> None:
+        """Take in what another summary has counted."""
+        self.total += total
+        self.missed += missed
+        self._join(hashes, counts)
+
+    def _join(self, hashes: np.ndarray, counts: np.ndarray) -> None:
         both = np.concatenate([self.hashes, hashes])
         order = np.argsort(both, kind="stable")
         both, counts = both[order], np.concatenate([self.counts, counts])[order]
@@ -175,13 +189,14 @@ def members_and_prefixes(
     shingles of its prefix and how many of them it must share. ``sigs`` is null for a class
     that the task has lately seen, so copies add little.
 
-    ``part`` tells these rows from the task's counts of the shingles of all sets it has seen, which
-    come after them: the shingles counted (n) and by how much a count may be too low (id), then
-    the count (n) of a shingle (id) each.
+    ``part`` tells these rows from one that follows them with the task's counts of the shingles of
+    all sets it has seen: its number (need), the shingles counted (n), by how much a
+    count may be too low (id), and shingles (sigs) with their ``counts``.
     """
     kind = dict(docs.dtypes)[key]
 
     def start():
+        task = TaskContext.get().partitionId()
         shingler, seen, summary = Shingler(width), set(), Summary()
 
         def rows(keys, texts):
@@ -190,7 +205,7 @@ def members_and_prefixes(
                 shingles = shingler(body)
                 cls = class_of(shingles)
                 if cls is None or cls in seen:
-                    found.append((k, len(shingles), cls, None, None, None, _DOCUMENT))
+                    found.append((k, len(shingles), cls, None, None, None, None, _DOCUMENT))
                     continue
                 if len(seen) > _CACHED_CLASSES:
                     seen.clear()
@@ -198,14 +213,14 @@ def members_and_prefixes(
                 summary.add(shingles)
                 sigs, need = signatures(shingles, num, den)
                 sigs = sigs.view(np.int64)
-                found.append((k, len(shingles), cls, number_of(cls), need, sigs, _DOCUMENT))
+                found.append((k, len(shingles), cls, number_of(cls), need, sigs, None, _DOCUMENT))
             return found
 
         def rest():
             summary.shorten(_MISSED_SHIFT)
-            counts = zip(summary.hashes.view(np.int64).tolist(), summary.counts.tolist())
-            total = (None, summary.total, None, summary.missed, None, None, _TOTAL)
-            return [total, *((None, n, None, shingle, None, None, _COUNT) for shingle, n in counts)]
+            sigs, counts = summary.hashes.view(np.int64), summary.counts
+            row = summary.total, None, summary.missed, task, sigs, counts, _COUNTED
+            return [(None, *row)]
 
         rows.rest = rest
         return rows
@@ -213,24 +228,65 @@ def members_and_prefixes(
     return map_batches(
         docs.select(F.col(key).alias("k"), F.col(text).alias("t")),
         start,
-        f"k {kind}, n bigint, cls binary, id bigint, need int, sigs array<bigint>, part int",
+        f"k {kind}, n bigint, cls binary, id bigint, need int, sigs array<bigint>, counts array<bigint>, "
+        "part int",
     )
 
 
+def _added_up(summaries: DataFrame) -> DataFrame:
+    """One summary for each ``slot`` of rows (slot, total, missed, sigs, counts)."""
+
+    def add(key, rows):
+        import pandas as pd
+
+        summary = Summary()
+        for total, missed, sigs, counts in zip(
+            rows["total"], rows["missed"], rows["sigs"], rows["counts"]
+        ):
+            hashes = np.asarray(sigs, np.int64).view(np.uint64)
+            summary.add_summary(int(total), int(missed), hashes, np.asarray(counts, np.int64))
+        return pd.DataFrame(
+            {
+                "slot": [key[0]],
+                "total": [summary.total],
+                "missed": [summary.missed],
+                "sigs": [summary.hashes.view(np.int64)],
+                "counts": [summary.counts],
+            }
+        )
+
+    return summaries.groupBy("slot").applyInPandas(add, summaries.schema)
+
+
 def frequent_shingles(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles by hash, sorted, and the rank of each, rarest first.
 
     They come from the counts among ``members_and_prefixes``, which all tasks made of all sets, and
-    decide only the order in which shingles are indexed.
+    decide only the order in which shingles are indexed. A row is what one task has counted; a few
+    at a time are added up until one is left, which is no larger than each of them may be.
     """
-    totals = found.where(F.col("part") == _TOTAL)
-    total, missed = totals.agg(F.sum("n"), F.sum("id")).first()
-    limit = max(2, int((total or 0) * FREQUENT_SHARE) + 1 - (missed or 0))
-    counts = found.where(F.col("part") == _COUNT).groupBy(F.col("id").alias("hash"))
-    found = counts.agg(F.sum("n").alias("n")).where(F.col("n") >= limit).toPandas()
-    hashes = found["hash"].to_numpy(np.int64).view(np.uint64)
+    counted = found.where(F.col("part") == _COUNTED).select(
+        F.col("need").cast("bigint").alias("slot"),
+        F.col("n").alias("total"),
+        F.col("id").alias("missed"),
+        "sigs",
+        "counts",
+    )
+    last, tables = counted.agg(F.max("slot")).first()[0], []
+    while last:
+        slots = counted.withColumn("slot", F.expr(f"slot div {_SUMMARIES}"))
+        counted = written(_added_up(slots), "jaccard-counts")
+        tables.append(counted)
+        last //= _SUMMARIES
+    row = counted.first()
+    discard(*tables)
+    if row is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    hashes, often = np.array(row.sigs, np.int64).view(np.uint64), np.array(row.counts, np.int64)
+    kept = often >= max(2, int(row.total * FREQUENT_SHARE) + 1 - row.missed)
+    hashes, often = hashes[kept], often[kept]
     by_hash = np.argsort(hashes)
-    hashes, often = hashes[by_hash], found["n"].to_numpy(np.int64)[by_hash]
+    hashes, often = hashes[by_hash], often[by_hash]
     order = np.empty(len(hashes), np.int64)
     order[np.lexsort((hashes, often))] = np.arange(len(hashes))
     return hashes, order
@@ -519,7 +575,7 @@ def jaccard_components(
     found = members_and_prefixes(docs, width, num, den, key, text)
     found = written(found, "jaccard-prefixes")
     frequent = frequent_shingles(found)
-    prefixes = found.where("sigs is not null")
+    prefixes = found.where((F.col("part") == _DOCUMENT) & F.col("sigs").isNotNull())
     classes = written(candidate_classes(prefixes, frequent[0]), "jaccard-candidates")
     members = found.where(F.col("part") == _DOCUMENT).select(F.col("k").alias(key), "n", "cls")
     members = written(members, "jaccard-members")

@@ -113,6 +113,34 @@ def test_frequent_shingles_are_counted_over_all_documents(spark, monkeypatch):
     assert order.tolist() == [0]
 
 
+def test_a_task_adds_one_row_of_counts(spark, monkeypatch):
+    monkeypatch.setattr(J, "FREQUENT_SHARE", 1e-3)
+    monkeypatch.setattr(J, "_SUMMARIES", 3)
+    texts = [f"a{i} b{i} c{i}" if i % 20 else f"a{i} said and done" for i in range(1000)]
+    docs = docs_table(spark, texts).repartition(20)
+    found = J.members_and_prefixes(docs, 3, 90, 100, "doc_id", "text")
+    assert found.count() <= 1000 + 20
+    hashes, order = J.frequent_shingles(found)
+    assert hashes.tolist() == J.Shingler(3)("said and done").tolist() and order.tolist() == [0]
+    assert J.frequent_shingles(found.limit(0))[0].tolist() == []
+
+
+def test_added_summaries_miss_a_bounded_share(monkeypatch):
+    monkeypatch.setattr(J, "_SUMMARY", 64)
+    rng, whole, true = random.Random(15), J.Summary(), {}
+    for _ in range(40):
+        part = [rng.choice([1, 2, 3]) if rng.random() < 0.3 else rng.randint(4, 10**6) for _ in range(200)]
+        task = J.Summary()
+        task.add(np.array(part, np.uint64))
+        task.shorten(6)
+        whole.add_summary(task.total, task.missed, task.hashes, task.counts)
+        for h in part:
+            true[h] = true.get(h, 0) + 1
+    assert whole.total == 8_000 and whole.missed <= 8_000 >> 5 and len(whole.hashes) <= 64
+    found = dict(zip(whole.hashes.tolist(), whole.counts.tolist()))
+    assert all(true[h] - whole.missed <= found.get(h, 0) <= true[h] for h in true)
+
+
 def test_counts_are_too_low_by_a_bounded_share(monkeypatch):
     monkeypatch.setattr(J, "_SUMMARY", 64)
     rng, summary, true = random.Random(13), J.Summary(), {}
