@@ -101,13 +101,18 @@ def _json_records(raw: DataFrame) -> DataFrame:
     return raw.select("l_orderkey", text.alias("value"))
 
 
-def write_feed(raw: DataFrame, path: str) -> None:
-    """Write raw records as a newline-delimited JSON feed, with numbers and nulls in it."""
-    _json_records(raw).select("value").write.text(path)
+# Records of a list document at most, about, and of a file of the feed: more of them make more files.
+RECORDS_PER_LIST = 500_000
 
 
-# Records of a list document at most, about: more of them make more documents.
-RECORDS_PER_LIST = 500_000
+def write_feed(raw: DataFrame, path: str) -> None:
+    """Write raw records as a newline-delimited JSON feed, with numbers and nulls in it.
+
+    As text a record takes many times the disk of its row in the test tables, so the feed is
+    compressed. A task reads a compressed file alone, so files are bounded.
+    """
+    files = _json_records(raw).select("value").write.option("maxRecordsPerFile", RECORDS_PER_LIST)
+    files.text(path, compression="gzip")
 
 
 def write_lists(raw: DataFrame, path: str, files: int = 4) -> None:

@@ -38,7 +38,7 @@ def land_raw(batch: DataFrame, path: str, collection: str, plain_scan: bool = Fa
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(COLLECTION)
-        .parquet(path)
+        .parquet(path, compression="zstd")
     )
     return True
 

@@ -101,6 +101,12 @@ def test_landing_replaces_unless_empty(spark, tmp_path):
     assert landed_or_none(spark, path, "nenhuma") is None
 
 
+def test_landed_files_are_compressed_by_zstd(spark, tmp_path):
+    land_raw(string_records(spark, [{"Preço": "1"}]), str(tmp_path / "raw"), "vendas")
+    files = [path.name for path in (tmp_path / "raw").rglob("part-*")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+
+
 def test_failed_landing_keeps_the_old_records(spark, tmp_path):
     path = str(tmp_path / "raw")
     land_raw(variant_records(spark, [{"Preço": 1}]), path, "vendas")
