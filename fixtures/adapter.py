@@ -5,7 +5,11 @@ The expressions are those of FIXTURES.md; the oracle states them again in its ow
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,26 +119,50 @@ def write_feed(raw: DataFrame, path: str) -> None:
     files.text(path, compression="gzip")
 
 
+# Records in list documents of plain text, about. Further records come in compressed documents,
+# so the disk that plain text takes doesn't grow with the tables.
+PLAIN_RECORDS = 200_000
+
+
 def write_lists(raw: DataFrame, path: str, files: int = 4) -> None:
     """Write raw records as JSON documents, each a list over many lines: ``files`` or more.
 
-    A task writes one document, record by record, so none is held as a whole.
+    A task writes its documents record by record, so none is held as a whole. Plain documents
+    are read by ranges, compressed ones as a whole by a task. The first are few and gather their
+    records from all tasks; the others, all but these, are written where their records are read.
     """
-    files = max(files, -(-raw.count() // RECORDS_PER_LIST))
+    rows = raw.count()
+    if rows > PLAIN_RECORDS:
+        is_plain = F.pmod(F.xxhash64("l_orderkey", "id"), F.lit(rows)) < PLAIN_RECORDS
+        _write_documents(_json_records(raw.where(~is_plain)).select("value"), path, "gzip")
+        raw, rows = raw.where(is_plain), PLAIN_RECORDS
+    files = max(files, -(-rows // RECORDS_PER_LIST))
+    dealt = _json_records(raw).withColumn("row", F.xxhash64("value"))
+    _write_documents(dealt.repartition(files, "l_orderkey", "row").select("value"), path)
 
-    def documents(batches):
+
+def _write_documents(records: DataFrame, path: str, compression: str | None = None) -> None:
+    """One document for each task; compressed ones are bounded, so a task can write several."""
+    most = RECORDS_PER_LIST if compression else sys.maxsize
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
         yield pa.RecordBatch.from_pydict({"value": ["["]})
-        last = None
         for batch in batches:
-            records = batch.column(0).to_pylist()
-            if not records:
-                continue
-            lines = [f"{record}," for record in ([] if last is None else [last]) + records[:-1]]
-            last = records[-1]
-            if lines:
-                yield pa.RecordBatch.from_pydict({"value": lines})
-        yield pa.RecordBatch.from_pydict({"value": ["]"] if last is None else [last, "]"]})
-
-    dealt = _json_records(raw).withColumn("row", F.xxhash64("value"))
-    dealt = dealt.repartition(files, "l_orderkey", "row").select("value")
-    dealt.mapInArrow(documents, "value string").write.text(path)
+            left = batch.column(0).cast(pa.string())
+            while len(left):
+                if held == most:
+                    held = 0
+                    yield pa.RecordBatch.from_pydict({"value": ["]", "["]})
+                # The first of a list alone, as all others have a comma before them.
+                part = left.slice(0, most - held if held else 1)
+                lines = pc.binary_join_element_wise(",", part, "") if held else part
+                yield pa.RecordBatch.from_arrays([lines], ["value"])
+                left, held = left.slice(len(part)), held + len(part)
+        yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    files = records.mapInArrow(documents, "value string").write.mode("append")
+    if compression:
+        # A list of ``most`` records has two lines more, so each file holds one list.
+        files = files.option("maxRecordsPerFile", most + 2)
+    files.text(path, compression=compression)

@@ -49,6 +49,31 @@ def test_the_feed_is_compressed_bounded_and_whole(spark, tmp_path, monkeypatch):
     assert ids(read_records(spark, str(tmp_path / "feed"))) == list(range(4000))
 
 
+def test_lists_beyond_a_fixed_number_of_records_are_compressed_and_not_shuffled(
+    spark, tmp_path, monkeypatch
+):
+    monkeypatch.setattr(adapter, "RECORDS_PER_LIST", 300)
+    monkeypatch.setattr(adapter, "PLAIN_RECORDS", 500)
+    adapter.write_lists(sales(spark, 4000), str(tmp_path / "lists"))
+    plain = [json.loads(p.read_text()) for p in (tmp_path / "lists").glob("part-*.txt")]
+    files = list((tmp_path / "lists").glob("part-*.txt.gz"))
+    compressed = [json.loads(gzip.decompress(p.read_bytes())) for p in files]
+    assert len(plain) == 4 and 300 < sum(map(len, plain)) < 700
+    # Each of the four tasks has less than 1000 records left, so four lists at most.
+    assert all(0 < len(records) <= 300 for records in compressed) and 12 <= len(files) <= 16
+    assert ids(read_records(spark, str(tmp_path / "lists"), multi_line=True)) == list(range(4000))
+
+
+def test_a_full_list_is_followed_by_no_empty_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(adapter, "RECORDS_PER_LIST", 50)
+    records = spark.range(600, numPartitions=4).selectExpr("concat('{\"id\":\"', id, '\"}') AS value")
+    adapter._write_documents(records, str(tmp_path / "lists"), "gzip")
+    files = list((tmp_path / "lists").glob("part-*.txt.gz"))
+    assert [len(json.loads(gzip.decompress(p.read_bytes()))) for p in files] == [50] * 12
+    adapter._write_documents(records.where("value = ''"), str(tmp_path / "none"), "gzip")
+    assert ids(read_records(spark, str(tmp_path / "none"), multi_line=True)) == []
+
+
 @pytest.fixture
 def large_tables(spark, monkeypatch):
     """Every table but the suppliers counts as too large for a broadcast."""
