@@ -59,14 +59,18 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lineitem = spread(lineitem.withColumn("row_number", F.monotonically_increasing_id()))
     orders = table("orders", "o_orderkey", "o_custkey", "o_orderpriority")
+    orders = orders.withColumn("order_row", F.monotonically_increasing_id())
+    customer = table("customer", "c_custkey", "c_nationkey")
+    # Orders meet their customers before the sales do, and the texts of parts come last, as what
+    # is shuffled for the joins is many times the tables themselves.
+    placed = join_keyed(orders, customer, {"c_custkey": "o_custkey"}, "order_row", how="inner")
     sales = lineitem
-    for keyed, on, keys_from in (
-        (table("part", "p_partkey", "p_name", "p_type"), {"p_partkey": "l_partkey"}, lineitem),
-        (table("supplier", "s_suppkey", "s_name"), {"s_suppkey": "l_suppkey"}, lineitem),
-        (orders, {"o_orderkey": "l_orderkey"}, lineitem),
-        (table("customer", "c_custkey", "c_nationkey"), {"c_custkey": "o_custkey"}, orders),
+    for keyed, on in (
+        (placed.drop("o_custkey", "order_row"), {"o_orderkey": "l_orderkey"}),
+        (table("part", "p_partkey", "p_name", "p_type"), {"p_partkey": "l_partkey"}),
+        (table("supplier", "s_suppkey", "s_name"), {"s_suppkey": "l_suppkey"}),
     ):
-        sales = join_keyed(sales, keyed, on, "row_number", how="inner", keys_from=keys_from)
+        sales = join_keyed(sales, keyed, on, "row_number", how="inner", keys_from=lineitem)
     return sales.select(
         *ROW_KEYS, *[F.expr(sql).alias(name) for name, sql in RAW_FIELDS.items()]
     )

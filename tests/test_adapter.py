@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,21 @@ def large_tables(spark, monkeypatch):
         yield "/root/testdata/sf0.001"
 
 
+def test_sales_are_shuffled_for_two_joins_only(spark, large_tables):
+    """By order and by part; the customer of an order is joined with the order."""
+    plan = adapter.raw_sales(spark, large_tables)._jdf.queryExecution().executedPlan().toString()
+    above = []
+    shuffled = []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [(at, key) for at, key in above if at < depth]
+        if found := re.search(r"Exchange hashpartitioning\((\w+)#", line):
+            above.append((depth, found[1]))
+        if "FileScan" in line and "l_orderkey" in line:
+            shuffled.append([key for _, key in above])
+    assert shuffled == [["l_partkey", "l_orderkey"]]
+
+
 def test_landing_the_sales_leaves_no_shuffle_files(spark, large_tables):
     def shuffle_files():
         store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
