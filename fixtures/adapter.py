@@ -48,8 +48,12 @@ RAW_FIELDS = {
 }
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw records under their feed names, with the row keys of lineitem in front."""
+def raw_sales(spark: SparkSession, sf_dir: str, scratch: str) -> DataFrame:
+    """Raw records under their feed names, with the row keys of lineitem in front.
+
+    Sales with their orders are written to ``scratch``, which the caller removes afterwards, so
+    what was shuffled for them can go before the next join shuffles them again.
+    """
 
     def table(name: str, *columns: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -64,9 +68,13 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Orders meet their customers before the sales do, and the texts of parts come last, as what
     # is shuffled for the joins is many times the tables themselves.
     placed = join_keyed(orders, customer, {"c_custkey": "o_custkey"}, "order_row", how="inner")
-    sales = lineitem
+    placed = placed.drop("o_custkey", "order_row")
+    ordered = join_keyed(
+        lineitem, placed, {"o_orderkey": "l_orderkey"}, "row_number", how="inner", keys_from=lineitem
+    )
+    ordered.write.parquet(scratch, compression="zstd")
+    sales = spread(spark.read.schema(ordered.schema).parquet(scratch))
     for keyed, on in (
-        (placed.drop("o_custkey", "order_row"), {"o_orderkey": "l_orderkey"}),
         (table("part", "p_partkey", "p_name", "p_type"), {"p_partkey": "l_partkey"}),
         (table("supplier", "s_suppkey", "s_name"), {"s_suppkey": "l_suppkey"}),
     ):

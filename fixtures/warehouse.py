@@ -19,7 +19,7 @@ from quitanda.operators.fact import load_fact
 from quitanda.plans.batch import BatchConfig, run_batch
 from quitanda.plans.lot_sums import refresh_sums
 from quitanda.plans.populate import load_dimensions, populate
-from quitanda.settings import SHUFFLE_CLEANUP, new_shared_path, session_setting
+from quitanda.settings import SHUFFLE_CLEANUP, new_shared_path, remove_path, session_setting
 from quitanda.sources.landing import land_raw, scan_raw
 from quitanda.sources.records import read_records
 from quitanda.sources.tables import Warehouse, load_staging, set_up_tables
@@ -43,8 +43,10 @@ class SalesFixture:
     @cached_property
     def raw_path(self) -> str:
         path = f"{self.root}/raw"
+        scratch = new_shared_path(self.spark, "ordered")
         with session_setting(self.spark, SHUFFLE_CLEANUP, "true"):
-            land_raw(raw_sales(self.spark, self.sf_dir), path, COLLECTION)
+            land_raw(raw_sales(self.spark, self.sf_dir, scratch), path, COLLECTION)
+        remove_path(self.spark, scratch)
         return path
 
     @property

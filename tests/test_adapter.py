@@ -83,19 +83,15 @@ def large_tables(spark, monkeypatch):
         yield "/root/testdata/sf0.001"
 
 
-def test_sales_are_shuffled_for_two_joins_only(spark, large_tables):
-    """By order and by part; the customer of an order is joined with the order."""
-    plan = adapter.raw_sales(spark, large_tables)._jdf.queryExecution().executedPlan().toString()
-    above = []
-    shuffled = []
-    for line in plan.splitlines():
-        depth = len(line) - len(line.lstrip(" :+-"))
-        above = [(at, key) for at, key in above if at < depth]
-        if found := re.search(r"Exchange hashpartitioning\((\w+)#", line):
-            above.append((depth, found[1]))
-        if "FileScan" in line and "l_orderkey" in line:
-            shuffled.append([key for _, key in above])
-    assert shuffled == [["l_partkey", "l_orderkey"]]
+def test_sales_are_shuffled_once_at_a_time(spark, large_tables, tmp_path):
+    """By order, which is written with its customer, and then by part."""
+    scratch = str(tmp_path / "ordered")
+    sales = adapter.raw_sales(spark, large_tables, scratch)
+    ordered = spark.read.parquet(scratch)
+    assert ordered.count() == 6000 and {"c_nationkey", "o_orderpriority"} < set(ordered.columns)
+    plan = sales._jdf.queryExecution().executedPlan().toString()
+    shuffled = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(shuffled) == ["l_partkey", "p_partkey"]
 
 
 def test_landing_the_sales_leaves_no_shuffle_files(spark, large_tables):
